@@ -1,4 +1,19 @@
-"""Queries of the text and record operators."""
+"""Queries of the text and record operators, over the whole tables of a folder."""
 
-QUERIES = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from . import encode
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return encode.encode(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p6_ids,)}
 SQL = {}
