@@ -9,9 +9,9 @@ are not stored, so a document's whole history mostly is one row. A delivery is s
 2. messages become words, words get the code of their document (a rank within the shard, no global sort);
 3. a word is compared with the stored one: bits not seen before are accepted, with one arrival each.
 
-``SeenStore.deliver`` unions the new bits atomically: the words are written first, and count only once the
-delivery's marker has been renamed into place. A repeated delivery id is screened against the state before
-it, so a replay after a lost driver gives the same answer.
+``SeenStore.commit`` unions the new bits atomically: the words are written first, and count only once the
+delivery's marker has been renamed into place. A replay after a lost driver reads back what was committed, or
+overwrites what was not, so it gives the same answer.
 
 Defined cases: a null or blank id is no message (such rows are left out); ids are compared trimmed of spaces
 and in lower case; a missing count is 0, a missing reflow flag is realtime; counts may be any bigint; equal
@@ -26,13 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..shared import children, exists, publish_text
+from ..shared import children, publish_text
 
 ORDER = ("batch_id", "kafka_topic", "kafka_partition", "kafka_offset")
 SHARDS = 1024
 
-DICTIONARY = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("id", T.StringType()), T.StructField("code", T.LongType())])
-BITMAPS = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("code", T.LongType()), T.StructField("reflow", T.BooleanType()), T.StructField("word", T.LongType()), T.StructField("bits", T.LongType())])
+WORDS = T.StructType.fromDDL("shard int, id string, code bigint, fresh boolean, reflow boolean, word bigint, unseen bigint, repeated bigint")
 
 
 def normal_id(c: Column) -> Column:
@@ -107,49 +106,56 @@ def path_name() -> Column:
     return F.when(F.col("reflow"), "reflow").otherwise("realtime")
 
 
-def repeated_messages(df: DataFrame) -> DataFrame:
-    """Each message that occurs more than once in ``df``: document_id, boomerang_update_count, path."""
-    screened = screen(encode(words(arrivals(df))))
-    return bits_of(screened, "repeated").select(F.col("id").alias("document_id"), F.col("n_update").alias("boomerang_update_count"), path_name().alias("path"))
-
-
-def one_copy(df: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
-    """One arrival of each message of ``df``, the first by ``order``."""
-    return accepted(arrivals(df, order), screen(encode(words(arrivals(df)))), order)
-
-
-def accepted(messages: DataFrame, screened: DataFrame, order: tuple[str, ...]) -> DataFrame:
+def accepted(messages: DataFrame, screened: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
     """One arrival per unseen bit."""
     return messages.join(bits_of(screened, "unseen"), ["id", "reflow", "n_update"], "left_semi").select(
         F.col("id").alias("document_id"), F.col("n_update").alias("boomerang_update_count"), path_name().alias("path"), *(F.col("arrival")[c].alias(c) for c in order)
     )
 
 
+def one_copy(df: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
+    """One arrival of each message of ``df``, the first by ``order``, against an empty store."""
+    return accepted(arrivals(df, order), screen(encode(words(arrivals(df)))), order)
+
+
 class SeenStore:
-    """Dictionary and bitmaps of all deliveries so far, in a folder that the cluster shares."""
+    """Dictionary and bitmaps of all deliveries so far, in a folder that the cluster shares.
+
+    A delivery is one table of its words, sorted by shard and code: new codes with their ids are the dictionary's
+    part of it, ``unseen`` words the bitmaps'. It counts once its marker is in place.
+    """
 
     def __init__(self, spark: SparkSession, root: str, shards: int = SHARDS, order: tuple[str, ...] = ORDER):
         self.spark, self.root, self.shards, self.order = spark, root.rstrip("/"), shards, order
 
     def deliveries(self) -> list[str]:
-        """Ids of the committed deliveries."""
+        """Ids of the committed deliveries, in order."""
         return [x for x in children(self.spark, f"{self.root}/log") if not x.endswith(".tmp")]
 
-    def _read(self, kind: str, schema: T.StructType, ids: list[str]) -> DataFrame | None:
-        paths = [p for i in ids if exists(self.spark, p := f"{self.root}/{kind}/{i}")]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else None
+    def _read(self, deliveries: list[str]) -> DataFrame | None:
+        return self.spark.read.schema(WORDS).parquet(*(f"{self.root}/words/{d}" for d in deliveries)) if deliveries else None
 
-    def deliver(self, df: DataFrame, delivery: str) -> DataFrame:
-        """Commit one delivery; returns the accepted arrivals, one per message not seen in another delivery.
+    def commit(self, df: DataFrame, delivery: str) -> DataFrame:
+        """Screen one delivery, union its new bits, and return its words.
 
-        Deliveries come one after another: what counts as seen is what was committed before this one.
+        Deliveries come one after another, their ids in ascending order; seen is what was committed under a smaller id. A
+        delivery that is committed already is read back, whatever ``df`` holds.
         """
         log = self.deliveries()
-        before = log[: log.index(delivery)] if delivery in log else log
-        encoded = encode(words(arrivals(df), self.shards), self._read("dictionary", DICTIONARY, before))
-        screened = screen(encoded, self._read("bitmaps", BITMAPS, before))
         if delivery not in log:
-            screened.where("fresh").select("shard", "id", "code").distinct().write.mode("overwrite").parquet(f"{self.root}/dictionary/{delivery}")
-            screened.where("unseen <> 0").select("shard", "code", "reflow", "word", F.col("unseen").alias("bits")).sortWithinPartitions("shard", "code", "word").write.mode("overwrite").parquet(f"{self.root}/bitmaps/{delivery}")
+            before = self._read([d for d in log if d < delivery])
+            dictionary = None if before is None else before.where("fresh").select("shard", "id", "code").distinct()
+            bitmaps = None if before is None else before.where("unseen <> 0").select("shard", "code", "reflow", "word", F.col("unseen").alias("bits"))
+            screened = screen(encode(words(arrivals(df), self.shards), dictionary), bitmaps)
+            screened.select(*WORDS.names).sortWithinPartitions("shard", "code", "reflow", "word").write.mode("overwrite").parquet(f"{self.root}/words/{delivery}")
             publish_text(self.spark, f"{self.root}/log/{delivery}", "")
-        return accepted(arrivals(df, self.order), screened, self.order)
+        return self._read([delivery])
+
+    def deliver(self, df: DataFrame, delivery: str) -> DataFrame:
+        """Commit one delivery; returns the accepted arrivals, one per message that no delivery before had."""
+        return accepted(arrivals(df, self.order), self.commit(df, delivery), self.order)
+
+    def repeated(self) -> DataFrame:
+        """Each message that arrived more than once in all deliveries: document_id, boomerang_update_count, path."""
+        seen = self._read(self.deliveries()).where("repeated <> 0").groupBy("id", "reflow", "word").agg(F.bit_or("repeated").alias("repeated"))
+        return bits_of(seen, "repeated").select(F.col("id").alias("document_id"), F.col("n_update").alias("boomerang_update_count"), path_name().alias("path"))

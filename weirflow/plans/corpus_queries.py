@@ -13,8 +13,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _deliveries(spark: SparkSession, folder: str) -> tuple[exactly_once.SeenStore, dict[str, DataFrame]]:
+    """The batches of the raw topics as two deliveries to a new store of seen messages."""
+    raw, even = table(spark, folder, "raw_documents"), F.pmod(F.coalesce("batch_id", F.lit(0)), F.lit(2)) == 0
+    return exactly_once.SeenStore(spark, scratch(spark, "seen")), {"1": raw.where(even), "2": raw.where(~even)}
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return exactly_once.repeated_messages(table(spark, folder, "raw_documents"))
+    store, parts = _deliveries(spark, folder)
+    for name, part in parts.items():
+        store.commit(part, name)
+    return store.repeated()
 
 
 def p1_one_copy(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,12 +31,9 @@ def p1_one_copy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_deliveries(spark: SparkSession, folder: str) -> DataFrame:
-    """The table delivered in two parts to a store of seen messages; accepted messages by delivery."""
-    raw = table(spark, folder, "raw_documents")
-    store = exactly_once.SeenStore(spark, scratch(spark, "seen"))
-    even = F.pmod("batch_id", F.lit(2)) == 0
-    first = store.deliver(raw.where(even), "1").withColumn("delivery", F.lit(1))
-    second = store.deliver(raw.where(~even), "2").withColumn("delivery", F.lit(2))
+    """The accepted messages by delivery."""
+    store, parts = _deliveries(spark, folder)
+    first, second = (store.deliver(part, name).withColumn("delivery", F.lit(int(name))) for name, part in parts.items())
     return first.unionByName(second).select("document_id", "boomerang_update_count", "path", "delivery", "kafka_topic", "kafka_partition", "kafka_offset")
 
 
