@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import encode, lookalike
+from . import encode, leaks, lookalike
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode(table(spark, folder, "documents"))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.same_looking(table(spark, folder, "documents")).toDF("doc_id_a", "doc_id_b")
 
@@ -23,5 +27,5 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.common_form(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p8_found, p8_forms)}
+QUERIES = {f.__name__: f for f in (p6_ids, p7_found, p8_found, p8_forms)}
 SQL = {}
