@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import encode, leaks, lookalike
+from . import addresses, encode, leaks, lookalike
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return addresses.same_place(table(spark, folder, "client_documents")).toDF("record_id_a", "record_id_b")
+
+
+def p4_places(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts of each address, one row per record."""
+    parts = addresses.places(table(spark, folder, "client_documents"))
+    return parts.select(F.col("key").alias("record_id"), "number", "way", F.concat_ws(" ", "kinds").alias("kinds"), F.concat_ws(" ", "names").alias("names"), "town_name", "country")
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode(table(spark, folder, "documents"))
 
@@ -27,5 +38,5 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.common_form(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p7_found, p8_found, p8_forms)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_places, p6_ids, p7_found, p8_found, p8_forms)}
 SQL = {}
