@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import addresses, encode, leaks, lookalike
+from . import addresses, encode, leaks, lookalike, names
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.same_entity(table(spark, folder, "client_documents")).toDF("record_id_a", "record_id_b")
+
+
+def p2_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per record: its entity (a form's id) and the number of other forms that it is linked with."""
+    records, members, links = names.entities(table(spark, folder, "client_documents"))
+    degree = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.count("*").alias("links")).select(F.col("a").alias("form"), "links")
+    rows = records.join(members.select("form", "label"), "form", "left").join(degree, "form", "left")
+    return rows.select(F.col("key").alias("record_id"), F.coalesce("label", "form").alias("entity"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return addresses.same_place(table(spark, folder, "client_documents")).toDF("record_id_a", "record_id_b")
 
@@ -38,5 +50,5 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.common_form(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_places, p6_ids, p7_found, p8_found, p8_forms)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_places, p6_ids, p7_found, p8_found, p8_forms)}
 SQL = {}
