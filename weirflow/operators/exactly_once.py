@@ -23,7 +23,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..shared import children, publish_text
@@ -31,7 +30,7 @@ from ..shared import children, publish_text
 ORDER = ("batch_id", "kafka_topic", "kafka_partition", "kafka_offset")
 SHARDS = 1024
 
-WORDS = T.StructType.fromDDL("shard int, id string, code bigint, fresh boolean, reflow boolean, word bigint, unseen bigint, repeated bigint")
+WORDS = "shard int, id string, code bigint, fresh boolean, reflow boolean, word bigint, unseen bigint, repeated bigint"
 
 
 def normal_id(c: Column) -> Column:
@@ -147,7 +146,7 @@ class SeenStore:
             dictionary = None if before is None else before.where("fresh").select("shard", "id", "code").distinct()
             bitmaps = None if before is None else before.where("unseen <> 0").select("shard", "code", "reflow", "word", F.col("unseen").alias("bits"))
             screened = screen(encode(words(arrivals(df), self.shards), dictionary), bitmaps)
-            screened.select(*WORDS.names).sortWithinPartitions("shard", "code", "reflow", "word").write.mode("overwrite").parquet(f"{self.root}/words/{delivery}")
+            screened.select(*(c.split()[0] for c in WORDS.split(", "))).sortWithinPartitions("shard", "code", "reflow", "word").write.mode("overwrite").parquet(f"{self.root}/words/{delivery}")
             publish_text(self.spark, f"{self.root}/log/{delivery}", "")
         return self._read([delivery])
 
