@@ -131,6 +131,10 @@ def forms(texts: list[str]) -> list[str]:
     cuts = np.searchsorted(document, np.arange(len(which) + 1))
     for i, j in enumerate(which):
         out[j] = joined[cuts[i] : cuts[i + 1]]
+    # Hangul, and marks that meet their starter across others, are left to the library.
+    open_ = document[(points >= 0x1100) & (points <= 0x11FF)], document[1:][(k[1:] > 0) & (k[:-1] > 0)]
+    for i in np.unique(np.concatenate(open_)).tolist():
+        out[which[i]] = unicodedata.normalize("NFC", out[which[i]])
     return out
 
 
