@@ -65,8 +65,9 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 def p5_zones(spark: SparkSession, folder: str) -> DataFrame:
     """The zone of each store as its own rows tell, without its declared zone, among all zones that any store declares."""
     stores = _declared(spark, folder)
-    zones = stores.select("zone").distinct().withColumn("rank", F.when(F.col("zone") == "UTC", 0).otherwise(1))
-    candidates = table(spark, folder, "stores").select(F.col("store_id").alias("source")).join(F.broadcast(zones))
+    # Names of IANA zones are a few hundred at most.
+    zones = sorted({r.zone for r in stores.select("zone").distinct().collect()}, key=lambda z: (z != "UTC", z))
+    candidates = stores.select("source", F.posexplode(F.array(*map(F.lit, zones))).alias("rank", "zone"))
     rows = _purchases(spark, folder).where("wall_ms is not null and region is null and pmod(wall_ms, 86400000) <> 0")
     chosen = instants.choose_zones(rows, candidates)
     return chosen.join(stores.select("source", F.col("zone").alias("declared")), "source").select(F.col("source").alias("store_id"), "zone", "declared", "violations", F.col("rows").alias("n_rows"))
