@@ -118,8 +118,8 @@ def _rarity(forms: DataFrame) -> DataFrame:
     """Forms with ``rarity``: word -> weight, by the number of rows that have the word; the two rarest as ``rare``."""
     words = forms.select("form", "rows", F.explode("names").alias("word"))
     counts = words.groupBy("word").agg(F.sum("rows").alias("n"))
-    total = forms.agg(F.sum("rows").alias("total"))
-    weighed = words.join(counts, "word").crossJoin(F.broadcast(total)).withColumn("weight", F.log(1 + F.col("total") / F.col("n")))
+    total = forms.agg(F.sum("rows")).first()[0] or 0
+    weighed = words.join(counts, "word").withColumn("weight", F.log(1 + F.lit(total) / F.col("n")))
     listed = weighed.groupBy("form").agg(F.sort_array(F.collect_list(F.struct("weight", "word")), asc=False).alias("l"))
     return forms.join(listed, "form").select(forms["*"], F.map_from_arrays(F.col("l.word"), F.col("l.weight")).alias("rarity"), F.slice("l.word", 1, 2).alias("rare"))
 
