@@ -15,8 +15,11 @@ def main(args: list[str]) -> None:
     cfg = load(args[0]).validate()
     spark = SparkSession.builder.appName("weirflow").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     values = pipeline.stream_documents(spark, cfg, staged_folder=args[2] if len(args) > 2 else None)
-    query = sinks.write(values, args[1], cfg.kafka.bootstrap_servers, cfg.kafka.output_topic, once=cfg.mode == "OFFLINE")
-    query.awaitTermination()
+    query = sinks.write(values, args[1], cfg.kafka.bootstrap_servers, cfg.kafka.output_topic)
+    if cfg.mode == "OFFLINE":
+        sinks.drain(query, cfg.joiner.timeout_ms / 1000 + 30)
+    else:
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

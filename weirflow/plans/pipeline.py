@@ -64,7 +64,7 @@ def _fan_out(parsed: DataFrame, cfg: PipelineConfig, path: str) -> DataFrame:
     each = F.explode(F.array(*map(F.lit, names))) if path == "realtime" else F.col("enricher_name")
     return parsed.select(
         "document_id", each.alias("enricher_name"), F.lit(path).alias("path"),
-        (F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")).alias("seq"),
+        (F.col("partition").cast("bigint") * F.lit(1 << 50) + F.col("offset")).alias("seq"),
         "boomerang_update_count", "reflow", F.to_json("payload").alias("payload_json"), F.to_json("existing_enrichments").alias("existing_json"), "timestamp",
     )
 
@@ -78,7 +78,7 @@ def stream_documents(spark: SparkSession, cfg: PipelineConfig, raw_folder: str |
         scanned = messages.scan(spark, [cfg.kafka.raw_topic], cfg.kafka.bootstrap_servers, raw_folder, starting=cfg.kafka.starting_offsets)
         inputs.append(_fan_out(messages.split_malformed(messages.parse_raw(scanned), cfg.malformed)[0], cfg, "realtime"))
     if staged_folder is not None and cfg.reflow_names():
-        lines = spark.readStream.schema("value string").text(f"{staged_folder}/*").select("value", F.lit("staged").alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"))
+        lines = spark.readStream.schema("value string").text(f"{staged_folder}/*").select("value", F.lit("staged").alias("topic"), F.lit(0).alias("partition"), messages.file_offset().alias("offset"))
         parsed = messages.parse_raw(lines).withColumn("enricher_name", F.try_variant_get(F.try_parse_json("value"), "$.enricherName", "string"))
         inputs.append(_fan_out(messages.split_malformed(parsed, cfg.malformed)[0], cfg, "reflow"))
     documents = union_all(inputs)

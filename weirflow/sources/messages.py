@@ -28,11 +28,16 @@ def scan(spark: SparkSession, topics: list[str], bootstrap: str = "", folder: st
             lines = spark.readStream.schema("value string").option("maxFilesPerTrigger", most_per_trigger or 1000).text(f"{folder}/{topic}")
         else:
             lines = spark.read.schema("value string").text(f"{folder}/{topic}")
-        part = lines.select("value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"))
+        part = lines.select("value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"), file_offset().alias("offset"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def file_offset() -> Column:
+    """What orders lines of files: the time of their file, in microseconds since 2020."""
+    return F.unix_micros(F.col("_metadata.file_modification_time")) - F.lit(1_577_836_800_000_000)
+
+
 def blank(c: Column) -> Column:
     """Null, empty, or white space only."""
     return c.isNull() | c.rlike(r"^\s*$")
