@@ -27,8 +27,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .lookalike import forms
+from .lookalike import forms, slices
 
 #: Seed masks; 0 is an ignored position.
 MASKS = ("1111", "110101", "1010011")
@@ -45,6 +46,8 @@ SPAN = 0.42
 DENSITY = 0.7
 LEAST = 8
 BLOCK = 2_000_000
+#: Characters of texts that are searched at a time.
+SLICE = 2_000_000
 #: Alignment scores in tenths of a word.
 MATCH, MISMATCH, SKIP_ITEM, OPEN, EXTEND = 10, -10, 10, 10, 1
 _WORD = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]|[^\W_぀-ヿ㐀-鿿豈-﫿]+")
@@ -227,6 +230,7 @@ def _blocks(items: DataFrame, key: str, passage: str) -> Iterator[list[tuple[int
 
 def leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", passage: str = "passage") -> DataFrame:
     """``key`` and ``item_key`` of each text that holds a passage, or ``SPAN`` of it or more as one stretch."""
+    types = to_arrow_type(df.schema[key].dataType), to_arrow_type(items.schema[item_key].dataType)
     kinds = df.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     out = None
     for block in _blocks(items, item_key, passage):
@@ -235,11 +239,11 @@ def leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "tex
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             index = shipped.value
             for batch in batches:
-                for start in range(0, batch.num_rows, 2000):
-                    part = batch.slice(start, 2000)
-                    pairs = [(k, t) for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if t]
-                    row, it = leaks_of([t for _, t in pairs], index)
-                    yield pa.RecordBatch.from_arrays([pa.array([pairs[r][0] for r in row.tolist()], batch.schema.field(0).type), pa.array([index.keys[i] for i in it.tolist()])], ["a", "b"]) if len(row) else pa.RecordBatch.from_arrays([pa.array([], batch.schema.field(0).type), pa.array([], pa.int64() if kinds[1] == "bigint" else pa.string())], ["a", "b"])
+                pairs = [(k, t) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t]
+                for start, end in slices([len(t) for _, t in pairs], SLICE):
+                    row, it = leaks_of([t for _, t in pairs[start:end]], index)
+                    found = [pairs[start + r][0] for r in row.tolist()], [index.keys[i] for i in it.tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array(f, t) for f, t in zip(found, types, strict=True)], ["a", "b"])
 
         part = df.select(key, text).where(df[text].isNotNull()).mapInArrow(run, f"a {kinds[0]}, b {kinds[1]}")
         out = part if out is None else out.union(part)

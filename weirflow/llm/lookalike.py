@@ -22,6 +22,7 @@ ignored; an empty table gives no pairs.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -49,6 +50,9 @@ IGNORABLE = (
 )
 KEEPS_LOOK = ("<wide>", "<narrow>", "<noBreak>", "<font>")
 SIZE = 0x110000
+#: Characters that are exploded at a time.
+PIECE = 1_000_000
+_ASCII = re.compile(r"[\x00-\x7f]")
 
 
 def _expansion(c: int, plain: dict[int, int]) -> list[int]:
@@ -91,8 +95,42 @@ def tables():
     return length, start, np.concatenate([*flat, np.array(extra, np.uint32)]), classes, keys, np.array([pairs[k] for k in keys.tolist()], np.uint32)
 
 
+def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours whose sizes add up to ``most`` at the most, or of one."""
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _pieces(text: str) -> list[str]:
+    """A long text cut before ASCII characters, which join with nothing before them."""
+    out, start = [], 0
+    while len(text) - start > PIECE and (cut := _ASCII.search(text, start + PIECE)):
+        out.append(text[start : cut.start()])
+        start = cut.start()
+    return [*out, text[start:]]
+
+
 def forms(texts: list[str]) -> list[str]:
-    """The common form of each text; texts of plain ASCII are their own."""
+    """The common form of each text, worked out in pieces of bounded size; texts of plain ASCII are their own."""
+    out = list(texts)
+    which = [k for k, t in enumerate(texts) if not t.isascii()]
+    pieces = [_pieces(texts[k]) for k in which]
+    flat = [p for ps in pieces for p in ps]
+    done = [f for a, b in slices([len(p) for p in flat], 2 * PIECE) for f in _forms(flat[a:b])]
+    at = 0
+    for k, ps in zip(which, pieces, strict=True):
+        out[k] = "".join(done[at : at + len(ps)])
+        at += len(ps)
+    return out
+
+
+def _forms(texts: list[str]) -> list[str]:
     length, start, flat, classes, pair_keys, pair_values = tables()
     which = [k for k, t in enumerate(texts) if not t.isascii()]
     out = list(texts)
