@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import SparkSession
-
 from . import sinks
 from .config import load
 from .plans import pipeline
+from .session import builder
 
 
 def main(args: list[str]) -> None:
     cfg = load(args[0]).validate()
-    spark = SparkSession.builder.appName("weirflow").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = builder().getOrCreate()
     values = pipeline.stream_documents(spark, cfg, staged_folder=args[2] if len(args) > 2 else None)
     query = sinks.write(values, args[1], cfg.kafka.bootstrap_servers, cfg.kafka.output_topic)
     if cfg.mode == "OFFLINE":

@@ -183,7 +183,7 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     existing = F.try_variant_get(F.try_parse_json("existing_enrichments"), "$", "map<string, map<string, variant>>")
     return rows.select(
         "document_id", "reflow", "boomerang_update_count", "batch_id", *ORDER, M.text_of(F.col("p"), "storeId").alias("store_id"), M.text_of(F.col("p"), "currency").alias("currency"),
-        F.col("p").alias("original_payload"), existing.alias("existing_enrichments"), F.struct("batch_id", *ORDER).alias("seq"),
+        F.col("p").alias("original_payload"), existing.alias("existing_enrichments"), F.struct("batch_id", *ORDER).alias("seq"), F.unix_millis(F.col("ingested_at").cast("timestamp")).alias("at"),
     )
 
 
@@ -234,7 +234,7 @@ def merged_document(spark: SparkSession, folder: str) -> DataFrame:
 
 def emission_cycles(spark: SparkSession, folder: str) -> DataFrame:
     """Emissions over time: results arrive when their message was ingested, those of the currency enricher a minute later for every other batch."""
-    rows = _documents(spark, folder).join(_raw(spark, folder).select(*ORDER, F.unix_millis(F.col("ingested_at").cast("timestamp")).alias("at")), ORDER)
+    rows = _documents(spark, folder)
     geo = rows.select("document_id", F.col("at").alias("arrival_ms"), "seq", F.lit(GEO).alias("enricher_name"), "reflow")
     late = rows.where("currency is not null").select("document_id", (F.col("at") + F.when(F.col("batch_id") % 2 == 0, 60_000).otherwise(1000)).alias("arrival_ms"), "seq", F.lit(CURRENCY).alias("enricher_name"), "reflow")
     return joiner.cycles(geo.unionByName(late), CONFIG.names(), CONFIG.reflow_names())
