@@ -92,3 +92,36 @@ def test_alignment_is_the_best_assignment():
         short, long = sorted((a, b), key=len)
         best = max(sum(N.alike(x, long[j]) for x, j in zip(short, p, strict=True)) for p in itertools.permutations(range(len(long)), len(short)))
         assert abs(N.align(a, b)[0] - best) < 1e-9
+
+
+def record(rnd, tokens):
+    """A record with some facts out of few."""
+    street = rnd.choice(["", "wieowhollow", "wieohwollow park", "leickabwick", "laickabwik"])
+    return {"tokens": " ".join(sorted(tokens)), "number": rnd.choice(["", "", "7915"]), "local": rnd.choice(["", "robert", "robrt", "maria"]), "phone": rnd.choice(["", "999111"]), "house": rnd.choice(["", "12"]), "street": street}
+
+
+def test_index_has_all_that_is_linked():
+    import random
+
+    rnd, words = random.Random(5), ["thomas", "tom", "viesulshamuller", "vanderbrealung", "brealung", "elizabeth", "beth", "kate", "ekaterina", "anna", "t", "foagabarrow", "associates"]
+
+    def edited(w):
+        for _ in range(rnd.randint(0, 3)):
+            i = rnd.randrange(len(w))
+            w = rnd.choice([w[:i] + w[i + 1 :], w[:i] + "x" + w[i:], w[:i] + "q" + w[i + 1 :], w[:i] + w[i + 1 : i + 2] + w[i] + w[i + 2 :]]) or w
+        return w
+
+    rows = [record(rnd, {edited(w) for w in rnd.sample(words, rnd.randint(1, 3))}) for _ in range(700)]
+    facts = [set(N.fact_keys(r)) for r in rows]
+    names = [set().union(*map(N.token_keys, r["tokens"].split())) for r in rows]
+    found = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if N.linked(rows[i], rows[j])]
+    assert len(found) > 1000
+    assert [(rows[i], rows[j]) for i, j in found if not (facts[i] & facts[j] and names[i] & names[j])] == []
+
+
+@pytest.mark.parametrize("block", [1, 64])
+def test_two_edits_and_an_initial_meet(spark, monkeypatch, block):
+    monkeypatch.setattr(N, "BLOCK", block)
+    rows = [("T", "Vesulshamüler", "t.vesul7915@a.example"), ("Thomas", "Viesulshamüller", "thomas7915@a.example"), ("Beth", "Ox", "ox7916@a.example"), ("Elizabeth", "Ox", "eox7916@a.example")]
+    got = {tuple(r) for r in N.same_entity(frame(spark, [(*r, None, None, None, None) for r in rows])).collect()}
+    assert got == {(0, 1), (2, 3)}

@@ -1,10 +1,11 @@
 """Records of the same person or organisation under variant spellings of its name.
 
 ``features`` takes a record apart: name tokens (without titles, legal forms and particles), the identity in its
-e-mail address, phone digits, and house number with street. An index of symmetric deletes, on the two longest
-tokens of a name, finds tokens within a small edit distance: two such tokens share a form with one letter left
-out, or their first or last four letters. The index key holds a supporting fact as well (e-mail, phone or address), so a
-frequent name alone brings nobody together and no key is hot but for true copies, which are compared once.
+e-mail address, phone digits, and house number with street. Records meet by a supporting fact (e-mail, phone or
+address), so a frequent name alone brings nobody together; facts that may differ by an edit meet by symmetric
+deletes. Where more than ``BLOCK`` forms share a fact, they must share a form of a name token as well. Both
+indexes have all pairs that ``linked`` accepts: names that agree have two tokens that match strongly, and such tokens share a
+form for every rule of ``alike``. True copies are compared once.
 
 Candidates are scored by aligning their tokens: the best assignment, where a token may stand for another as
 the same, a near spelling, a nickname, an initial or an abbreviation. A link needs aligned names and one
@@ -24,6 +25,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import pyarrow as pa
 import xxhash
@@ -56,6 +58,10 @@ DOUBLE = (("maria teresa", "mariateresa"), ("jean baptiste", "jeanbaptiste"))
 #: What a match of two tokens is worth.
 SAME, NICK, NEAR, ABBREVIATED, INITIAL = 1.0, 0.95, 0.9, 0.8, 0.6
 STRONG = 0.85
+#: Forms that share one fact and still all meet each other; in larger blocks name tokens decide.
+BLOCK = 64
+#: Letters that a form of a word or of an e-mail address keeps.
+KEPT, KEPT_LOCAL = 6, 24
 _NAMES_OF: dict[str, set[str]] = {}
 for _full, _short in NICKNAMES.items():
     for _s in (_full, *_short.split()):
@@ -113,6 +119,11 @@ def distance(a: str, b: str) -> int:
     return row[-1]
 
 
+def most_edits(shorter: int) -> int:
+    """The edits that two tokens may differ by, given the shorter one's length."""
+    return 0 if shorter < 4 else 1 if shorter < 6 else 2 if shorter < 10 else 3
+
+
 @lru_cache(1 << 17)
 def alike(a: str, b: str) -> float:
     """What the match of two tokens is worth; 0 if they are different names."""
@@ -124,9 +135,7 @@ def alike(a: str, b: str) -> float:
         return INITIAL if b[0] == a or any(s[0] == a for n in _NAMES_OF.get(b, ()) for s in (n, *NICKNAMES[n].split())) else 0.0
     if _NAMES_OF.get(a, set()) & _NAMES_OF.get(b, set()):
         return NICK
-    d = distance(a, b)
-    most = 0 if len(a) < 4 else 1 if len(a) < 6 else 2 if len(a) < 10 else 3
-    if d <= most and not (a in NICKNAMES and b in NICKNAMES):
+    if distance(a, b) <= most_edits(len(a)) and not (a in NICKNAMES and b in NICKNAMES):
         return NEAR
     # A misspelt nickname or given name.
     if _near_names(a) & _near_names(b) and not (a in NICKNAMES and b in NICKNAMES):
@@ -209,14 +218,64 @@ FIELDS = ("tokens", "number", "local", "phone", "house", "street")
 _FEATURES = "key {}, form bigint, " + ", ".join(f"{f} string" for f in FIELDS) + ", keys array<bigint>"
 
 
-def _index_keys(row: dict) -> list[int]:
-    """Hashes of every supporting fact with every form of the name's two longest tokens."""
-    facts = [f"{k}{row[k]}" for k in ("number", "local", "phone") if row[k]]
+def within(word: str, edits: int, kept: int = KEPT) -> set[str]:
+    """Forms of a word; two words within so many edits share one.
+
+    They have a common rest after at most ``edits`` letters are left out on either side, and the first ``kept``
+    letters of it stand within the first ``kept + edits`` of both (words are filled up at the end).
+    """
+    head = word[: kept + edits].ljust(kept + edits, "\0")
+    return set(map("".join, combinations(head, kept)))
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def fact_keys(row: dict) -> list[int]:
+    """Hashes of the supporting facts; two records that have one in common, as ``linked`` sees it, share one."""
+    facts = {f"{k}{row[k]}" for k in ("number", "phone") if row[k]}
+    if row["local"] and not row["number"]:
+        facts |= {f"local{v}" for v in within(row["local"], 1, KEPT_LOCAL)}
     if row["house"]:
-        facts += [f"house{row['house']} {part}" for w in row["street"].split() if len(w) > 4 for part in (w[:3], w[-3:])]
-    longest = sorted(row["tokens"].split(), key=lambda t: (-len(t), t))[:2]
-    variants = {v for t in longest for v in (t, *(t[:i] + t[i + 1 :] for i in range(len(t) if len(t) > 3 else 0)), "^" + t[:4], "$" + t[-4:])}
-    return [xxhash.xxh3_64_intdigest(f"{f}|{v}") - (1 << 63) for f in facts for v in variants]
+        facts |= {f"house{row['house']} {v}" for w in row["street"].split() if len(w) > 4 for v in within(w, 2)}
+    return [_hash(f) for f in facts]
+
+
+@lru_cache(1 << 14)
+def token_keys(token: str) -> frozenset[str]:
+    """Forms of a token; two tokens of 4 letters or more that match strongly share one."""
+    n = len(token)
+    if n < 4:
+        return frozenset()
+    keys = {f"={token}", *(f"^{name}" for name in _near_names(token))}
+    keys |= {f"={token[len(g) :]}" for g in GLUED if token.startswith(g) and n - len(g) >= 6}
+    for edits in {most_edits(m) for m in range(4, n + 1) if n - m <= most_edits(m)}:
+        keys |= {f"{edits}{v}" for v in within(token, edits)}
+    return frozenset(keys)
+
+
+def _refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each fact of a form with each form of each name token."""
+    for batch in batches:
+        for form, fact, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            keys = [_hash(f"{fact}|{k}") for k in sorted(set().union(*map(token_keys, name.split())))]
+            yield pa.RecordBatch.from_arrays([pa.array([form] * len(keys), pa.int64()), pa.array(keys, pa.int64())], ["form", "k"])
+
+
+def _met(forms: DataFrame) -> DataFrame:
+    """Pairs of forms that share a fact, in large blocks also a form of a token, and do not have two e-mail identities."""
+    keys = forms.select("form", "number", F.explode("keys").alias("k"))
+    sizes = keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    small = keys.join(sizes.where(F.col("n") <= BLOCK), "k").select("form", "number", "k")
+    large = keys.join(sizes.where(F.col("n") > BLOCK), "k").select("form", "k").join(forms.select("form", "tokens"), "form").select("form", "k", "tokens")
+    refined = large.mapInArrow(_refined, "form bigint, k bigint").join(forms.select("form", "number"), "form").select("form", "number", "k")
+
+    def pairs(rows: DataFrame) -> DataFrame:
+        side = lambda s: rows.select(F.col("form").alias(s), F.col("number").alias(f"number_{s}"), "k")
+        return side("a").join(side("b"), "k").where("a < b and (number_a = '' or number_b = '' or number_a = number_b)").select("a", "b")
+
+    return pairs(small).unionByName(pairs(refined)).distinct()
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,16 +287,16 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if key is None or not row["tokens"] or not (number or local or row["phone"] or row["house"]):
                 continue
             out["key"].append(key)
-            out["form"].append(xxhash.xxh3_64_intdigest("\x00".join(row[f] for f in FIELDS)) - (1 << 63))
+            out["form"].append(_hash("\x00".join(row[f] for f in FIELDS)))
             for f in FIELDS:
                 out[f].append(row[f])
-            out["keys"].append(_index_keys(row))
+            out["keys"].append(fact_keys(row))
         types = [batch.schema.field(0).type, pa.int64(), *[pa.string()] * len(FIELDS), pa.list_(pa.int64())]
         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], list(out))
 
 
 def features(df: DataFrame) -> DataFrame:
-    """Records with their form, the parts that are compared, and their index keys."""
+    """Records with their form, the parts that are compared, and the keys of their facts."""
     places = addresses.normal(df.select("record_id", "address", "city", "country")).select(F.col("key").alias("record_id"), F.col("number").alias("house"), F.concat_ws(" ", "names").alias("street"))
     rows = df.select("record_id", "first_name", "last_name", "email", "phone").join(places.where("house <> ''"), "record_id", "left")
     return rows.select("record_id", "first_name", "last_name", "email", "phone", "house", "street").mapInArrow(_features, _FEATURES.format(df.schema["record_id"].dataType.simpleString()))
@@ -283,9 +342,7 @@ def entities(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     records = written(features(df), "names")
     forms = records.groupBy("form").agg(*(F.first(f).alias(f) for f in FIELDS), F.first("keys").alias("keys"), F.count("*").alias("rows"))
     forms = written(forms, "forms")
-    keys = forms.select("form", F.explode("keys").alias("k"))
-    met = keys.select(F.col("form").alias("a"), "k").join(keys.select(F.col("form").alias("b"), "k"), "k").where("a < b").select("a", "b").distinct()
-    links = written(_compare(met, forms, linked), "links")
+    links = written(_compare(_met(forms), forms, linked), "links")
     return records.select("key", "form"), components(links).join(forms, "form"), links
 
 
