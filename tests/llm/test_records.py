@@ -125,3 +125,29 @@ def test_two_edits_and_an_initial_meet(spark, monkeypatch, block):
     rows = [("T", "Vesulshamüler", "t.vesul7915@a.example"), ("Thomas", "Viesulshamüller", "thomas7915@a.example"), ("Beth", "Ox", "ox7916@a.example"), ("Elizabeth", "Ox", "eox7916@a.example")]
     got = {tuple(r) for r in N.same_entity(frame(spark, [(*r, None, None, None, None) for r in rows])).collect()}
     assert got == {(0, 1), (2, 3)}
+
+
+def test_near_words_share_a_form(spark):
+    import random
+
+    rnd, words = random.Random(3), ["abcd", "pines", "hollow", "kuogubr", "pinungst", "dielenmouth", "kuogubrook", "wieowhollow", "aabbab", "foudultorfoudultor"]
+
+    def edited(w):
+        for _ in range(rnd.randint(0, 4)):
+            i = rnd.randrange(len(w))
+            w = rnd.choice([w[:i] + w[i + 1 :], w[:i] + "x" + w[i:], w[:i] + "q" + w[i + 1 :], w[:i] + w[i + 1 : i + 2] + w[i] + w[i + 2 :]]) or w
+        return w
+
+    pairs = [(edited(w), edited(w)) for w in words for _ in range(400)]
+    df = spark.createDataFrame(pairs, "x string, y string").where(A._NEAR.format(a="x", b="y"))
+    assert df.count() > 1000
+    apart = df.where(f"not arrays_overlap({A.word_forms('x')}, {A.word_forms('y')})")
+    assert [tuple(r) for r in apart.collect()] == []
+
+
+def test_places_with_two_errors_or_other_rare_words(spark):
+    rows = [("Dielenmouthh Straße Nr. 412", "Lüddenau", None), ("Diwlenmouthstraße 412", "Lüddenau", None), ("1453 KUOGUBROOK AVENUE", None, None), ("1453 Uksogubrook Avenue", None, None)]
+    # Neither of the first one's two rarest words is in the second; all are equally rare but for the last two.
+    rows += [("77 Aaronfeld Bertramsen Wexhollow Yarrowby Road", None, None), ("77 Wexhollow Yarrowby Road", None, None), ("78 Wexhollow Yarrowby Road", None, None)]
+    got = {tuple(r) for r in A.same_place(frame(spark, [(None, None, None, None, *r) for r in rows])).collect()}
+    assert {(0, 1), (4, 5)} <= got and all({a, b} in ({0, 1}, {2, 3}, {4, 5}) for a, b in got)

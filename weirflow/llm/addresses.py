@@ -3,12 +3,12 @@
 All in SQL, numbers first. ``normal`` takes a record apart: flat, floor or unit and postcode are dropped, the
 house number (with its letter), the direction and the kind of street are read off, what remains are words of
 the street's and the town's name. Words are counted over all rows. Records meet in blocks of the house number
-plus one of their two rarest words, or that word with one letter left out, so one typing error in it does no
-harm. A pair that met is accepted if nothing contradicts (number, letter, direction, kind, town, country; a
+plus a form of any of their words: the word, its beginning with as many letters left out as errors are accepted, or the set of its
+letters. Two words that are equal or alike by ``_NEAR`` share a form, and no pair is accepted without such words. A pair that met is accepted if nothing contradicts (number, letter, direction, kind, town, country; a
 missing part contradicts nothing) and the words it shares carry most of the rarity of its street's name; words
 left over on both sides are compared by edit distance first.
 
-A block is as large as the number of records at one house number with one rare word. Very many records of
+A block is as large as the number of records at one house number with a form of one word. Very many records of
 one building are few distinct normal forms: identical forms are compared once, by a representative, and
 ``same_place`` looks the records up by form again when it lists pairs. ``places`` gives one row per record
 with its form instead.
@@ -47,6 +47,8 @@ _UNIT = r"(?:flat|apt|apartment|unit|suite|ste|appt|appartement|app|bat|batiment
 _NEAR = """(levenshtein({a}, {b}, 4) between 0 and if(least(length({a}), length({b})) < 5, 0, if(least(length({a}), length({b})) < 8, 1, 2))
   or least(length({a}), length({b})) >= 6 and levenshtein({a}, {b}, 4) between 0 and 4 and abs(length({a}) - length({b})) <= 2
     and size(array_except(split({a}, ''), split({b}, ''))) + size(array_except(split({b}, ''), split({a}, ''))) <= 1)"""
+#: Letters that a form of a word keeps.
+KEPT = 6
 #: Least share of the rarity that the shared words carry, where one side has words left over, and where both have.
 OVERLAP, OVERLAP_BOTH = 0.4, 0.85
 
@@ -115,20 +117,34 @@ FORM = ("number", "country", "kinds", "way", "names", "town", "town_name")
 
 
 def _rarity(forms: DataFrame) -> DataFrame:
-    """Forms with ``rarity``: word -> weight, by the number of rows that have the word; the two rarest as ``rare``."""
+    """Forms with ``rarity``: word -> weight, by the number of rows that have the word."""
     words = forms.select("form", "rows", F.explode("names").alias("word"))
     counts = words.groupBy("word").agg(F.sum("rows").alias("n"))
     total = forms.agg(F.sum("rows")).first()[0] or 0
     weighed = words.join(counts, "word").withColumn("weight", F.log(1 + F.lit(total) / F.col("n")))
     listed = weighed.groupBy("form").agg(F.sort_array(F.collect_list(F.struct("weight", "word")), asc=False).alias("l"))
-    return forms.join(listed, "form").select(forms["*"], F.map_from_arrays(F.col("l.word"), F.col("l.weight")).alias("rarity"), F.slice("l.word", 1, 2).alias("rare"))
+    return forms.join(listed, "form").select(forms["*"], F.map_from_arrays(F.col("l.word"), F.col("l.weight")).alias("rarity"))
+
+
+def word_forms(word: str) -> str:
+    """SQL: forms of a word such that two words share one if they are equal or ``_NEAR`` holds.
+
+    Words within n edits have a common rest after at most n letters are left out on either side; its first ``KEPT``
+    letters stand within the first ``KEPT + n`` of both, filled up at the end. Words whose sets of letters differ by
+    one letter at most share a set, or one's set is the other's without a letter.
+    """
+    one, two = (f"rpad(left({word}, {KEPT + n}), {KEPT + n}, '_')" for n in (1, 2))
+    letters = f"array_sort(array_distinct(split({word}, '')))"
+    return f"""array_distinct(concat(array({word}),
+      if(length({word}) between 5 and 8, transform(sequence(1, {KEPT + 1}), i -> concat('1', substring({one}, 1, i - 1), substring({one}, i + 1))), array()),
+      if(length({word}) >= 8, flatten(transform(sequence(1, {KEPT + 1}), i -> transform(sequence(i + 1, {KEPT + 2}), j -> concat('2', substring({two}, 1, i - 1), substring({two}, i + 1, j - i - 1), substring({two}, j + 1))))), array()),
+      if(length({word}) >= 6, transform(array_append({letters}, ''), c -> concat('3', array_join(array_remove({letters}, c), ''))), array())))"""
 
 
 def form_pairs(forms: DataFrame) -> DataFrame:
     """Pairs of form ids that denote the same building."""
     weighed = written(_rarity(forms), "forms")
-    variants = F.expr("flatten(transform(rare, r -> if(length(r) < 5, array(r), concat(transform(sequence(1, length(r)), i -> concat(substring(r, 1, i - 1), substring(r, i + 1))), array(concat('^', left(r, 3)), concat('$', right(r, 3)), r)))))")
-    keys = weighed.select("form", F.explode(F.array_distinct(variants)).alias("word"), "number")
+    keys = weighed.select("form", F.explode("names").alias("x"), "number").select("form", F.explode(F.array_distinct(F.expr(word_forms("x")))).alias("word"), "number")
     met = keys.select(F.col("form").alias("a"), "number", "word").join(keys.select(F.col("form").alias("b"), "number", "word"), ["number", "word"]).where("a < b").select("a", "b").distinct()
     side = lambda s: weighed.select(F.col("form").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in (*FORM, "rarity")))
     pairs = met.join(side("a"), "a").join(side("b"), "b")
