@@ -90,6 +90,43 @@ def test_reflow_goes_round(spark, tmp_path):
     assert got == {f"d{i}": {"a": {"a": i}, "b": {"old": i}} for i in (1, 3, 5)}
 
 
+class FailsTwice(Echo):
+    """Fails for a document until it was read again twice."""
+
+    def call(self, document_id, request):
+        if request.get("read", 0) < 2:
+            raise RuntimeError("not yet")
+        return {"a": request["v"]}
+
+
+class Store:
+    """Documents by id; one is gone."""
+
+    def __init__(self):
+        self.reads = 0
+
+    def __call__(self, ids):
+        self.reads += 1
+        if self.reads == 1:
+            raise OSError("no store")
+        return {d: {"v": d, "read": self.reads - 1} for d in ids if d != "gone"}
+
+
+def test_failed_reflow_documents_are_tried_again(spark, tmp_path):
+    (tmp_path / "staged" / "batch=0").mkdir(parents=True)
+    docs = [{"documentId": d, "payload": {"v": 0, "read": 0 if d != "good" else 2}, "reflow": True, "existingEnrichments": {"b": {"old": 1}}, "enricherName": "a"} for d in ("x", "gone", "good")]
+    (tmp_path / "staged" / "batch=0" / "1.txt").write_text("\n".join(map(json.dumps, docs)))
+    c = cfg("OFFLINE")
+    c.enrichers[0].class_name, c.enrichers[0].retry_delay_ms, c.enrichers[0].async_timeout_ms = "tests.test_streaming.FailsTwice", 10, 5000
+    values = pipeline.stream_documents(spark, c, staged_folder=str(tmp_path / "staged"), refetch=Store())
+    query = sinks.write(values, str(tmp_path / "checkpoint"), folder=str(tmp_path / "out"))
+    got = {d["documentId"]: (d["v"], d["enrichments"]) for d in until(query, lambda: read(spark, str(tmp_path / "out")), 3)}
+    assert got["good"] == (0, {"a": {"a": 0}, "b": {"old": 1}})
+    assert got["gone"] == (0, {"b": {"old": 1}})
+    # The store's error took one retry of three.
+    assert got["x"] == ("x", {"a": {"a": "x"}, "b": {"old": 1}})
+
+
 def test_upsert_closes_the_loop(spark):
     old = spark.createDataFrame([("a", "1"), ("b", "1")], "document_id string, source string")
     new = spark.createDataFrame([("b", "2"), ("c", "2")], "document_id string, source string")

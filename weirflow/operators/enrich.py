@@ -3,7 +3,7 @@
 ``lookup`` joins a table of answers; a miss is a failure. ``call_service`` runs an enricher within the
 partitions: up to ``capacity`` documents in flight, in input order, singly or in bulks, within a rate limit that is
 the partitions' share of a global one. Every error becomes a failure row. Reflow documents that failed are read
-again and tried again by ``call_with_retry``.
+again and tried again: within the partition where a store's client is given (``retried``), else by ``call_with_retry``.
 """
 
 from __future__ import annotations
@@ -116,10 +116,51 @@ def run_all(enricher: Enricher, limiter: Limiter, documents: list[tuple[str, dic
         pool.shutdown(wait=False, cancel_futures=True)
 
 
-def call_service(documents: DataFrame, service: Service, partitions: int | None = None, make: Callable[[], Enricher] | None = None) -> DataFrame:
+#: Gives the current payloads of documents by id; those that are gone are left out.
+Refetch = Callable[[list[str]], dict[str, dict]]
+GONE = "document not found"
+
+
+def retried(enricher: Enricher, limiter: Limiter, documents: list[tuple[str, dict]], results: list[Result], again: list[bool], service: Service, refetch: Refetch) -> tuple[list[tuple[str, dict]], list[Result]]:
+    """Documents and results after failures marked in ``again`` were read and tried again, up to ``max_retries`` times with the delay before each.
+
+    A document that is gone fails at once; an error of the reading takes up one retry.
+    """
+    documents, results = [*documents], [*results]
+    waiting = [i for i, (_, ok, _) in enumerate(results) if again[i] and not ok]
+    for _ in range(service.max_retries):
+        if not waiting:
+            break
+        time.sleep(service.retry_delay_ms / 1000)
+        try:
+            fresh = refetch(sorted({documents[i][0] for i in waiting}))
+        except Exception as e:  # noqa: BLE001
+            for i in waiting:
+                results[i] = (None, False, f"re-fetch failed: {e}")
+            continue
+        for i in waiting:
+            if documents[i][0] not in fresh:
+                results[i] = (None, False, GONE)
+        waiting = [i for i in waiting if documents[i][0] in fresh]
+        for i in waiting:
+            documents[i] = (documents[i][0], fresh[documents[i][0]])
+        got = run_all(enricher, limiter, [documents[i] for i in waiting], service.bulk_size, service.capacity, service.timeout_ms)
+        for i, result in zip(waiting, got, strict=True):
+            results[i] = result
+        waiting = [i for i in waiting if not results[i][1]]
+    return documents, results
+
+
+def _update_count(payload: dict) -> int:
+    n = payload.get("boomerangUpdateCount")
+    return int(n) if isinstance(n, (int, float)) and not isinstance(n, bool) else 0
+
+
+def call_service(documents: DataFrame, service: Service, partitions: int | None = None, make: Callable[[], Enricher] | None = None, refetch: Refetch | None = None) -> DataFrame:
     """Adds enricher_name, enriched_fields (JSON), success and error_message to documents with document_id and payload_json.
 
-    The rate limit is divided by the number of partitions, which therefore is set here if there is a limit.
+    The rate limit is divided by the number of partitions, which therefore is set here if there is a limit. With ``refetch``,
+    rows whose ``reflow`` is true are tried again when they fail; payload_json and boomerang_update_count are those of the document read last.
     """
     columns = documents.columns
     if partitions or service.rate_per_second:
@@ -135,8 +176,17 @@ def call_service(documents: DataFrame, service: Service, partitions: int | None
                 enricher = enricher or (make() if make else create(service.class_name, service.properties))
                 rows = [(d, json.loads(p) if p else {}) for d, p in zip(batch.column(at).to_pylist(), batch.column(payload_at).to_pylist(), strict=True)]
                 got = run_all(enricher, limiter, rows, service.bulk_size, service.capacity, service.timeout_ms)
+                kept = batch.columns
+                if refetch and "reflow" in columns and service.max_retries > 0:
+                    again = [bool(x) for x in batch.column(columns.index("reflow")).to_pylist()]
+                    fresh, got = retried(enricher, limiter, rows, got, again, service, refetch)
+                    new = {i: p for i, ((_, p), (_, old)) in enumerate(zip(fresh, rows, strict=True)) if p is not old}
+                    for name, value in (("payload_json", json.dumps), ("boomerang_update_count", _update_count)):
+                        if new and name in columns:
+                            at_, old = columns.index(name), batch.column(name).to_pylist()
+                            kept[at_] = pa.array([value(new[i]) if i in new else x for i, x in enumerate(old)], batch.schema.field(at_).type)
                 added = [pa.array([service.name] * len(got), pa.string()), pa.array([None if f is None else json.dumps(f) for f, _, _ in got], pa.string()), pa.array([ok for _, ok, _ in got], pa.bool_()), pa.array([e for _, _, e in got], pa.string())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*columns, "enricher_name", "enriched_fields", "success", "error_message"])
+                yield pa.RecordBatch.from_arrays([*kept, *added], [*columns, "enricher_name", "enriched_fields", "success", "error_message"])
         finally:
             if enricher:
                 enricher.close()
@@ -160,7 +210,7 @@ def call_with_retry(documents: DataFrame, service: Service, refetch: Callable[[D
             return done
         sleep(service.retry_delay_ms / 1000)
         fresh = keep(refetch(bad.select("document_id").distinct()).select(*documents.columns), f"fresh-{attempt}")
-        gone = bad.join(fresh.select("document_id").distinct(), "document_id", "left_anti").withColumn("error_message", F.lit("document not found"))
+        gone = bad.join(fresh.select("document_id").distinct(), "document_id", "left_anti").withColumn("error_message", F.lit(GONE))
         done = done.unionByName(gone.select(*results.columns))
         results = keep(call_service(fresh, service, **options), f"attempt-{attempt}")
     return results if done is None else done.unionByName(results)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import EnricherConfig, PipelineConfig
+from ..enrichers.base import Enricher, create
 from ..functions import documents as D
 from ..functions import mappers as M
 from ..operators import enrich, guard, joiner, reflow
@@ -178,6 +182,38 @@ def _call(spark: SparkSession, folder: str):
     return call
 
 
+RETRIES, WORSE = 3, 6
+
+
+def _fails(document_id: str) -> int:
+    return int(hashlib.md5(document_id.encode()).hexdigest()[:8], 16) % WORSE
+
+
+class FailsFirst(Enricher):
+    """Fails the first so many times for a document, by its id."""
+
+    def open(self, properties: dict[str, str]) -> None:
+        self.calls = Counter()
+
+    def call(self, document_id: str, request: dict) -> dict:
+        self.calls[document_id] += 1
+        if self.calls[document_id] <= _fails(document_id):
+            raise RuntimeError(str(self.calls[document_id]))
+        return {"attempts": self.calls[document_id]}
+
+
+def retry_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """Attempts and outcome of reflow documents whose service fails the first times."""
+    rows = table(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("document_id"), F.lit("{}").alias("payload_json"), F.lit(True).alias("reflow"))
+    service = enrich.Service("fails", "", max_retries=RETRIES, retry_delay_ms=0)
+    got = enrich.call_service(rows, service, make=_fails_first, refetch=lambda ids: {d: {} for d in ids})
+    return got.select("document_id", F.coalesce(F.get_json_object("enriched_fields", "$.attempts"), "error_message").cast("int").alias("attempts"), "success")
+
+
+def _fails_first() -> FailsFirst:
+    return create(f"{__name__}.FailsFirst")
+
+
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     rows = _parsed(spark, folder).where("document_id is not null and p is not null").withColumn("reflow", F.coalesce("reflow", F.lit(False)))
     existing = F.try_variant_get(F.try_parse_json("existing_enrichments"), "$", "map<string, map<string, variant>>")
@@ -242,7 +278,7 @@ def emission_cycles(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     raw_parse, guard_accept, guard_drop, guard_per_path, geo_request_map, geo_response_map, field_map, client_payload, client_typed, dsl_term, dsl_bool_must, dsl_geo_region, dsl_match_all, dsl_match, dsl_match_text, dsl_ids,
-    reflow_count_slices, slice_partition, page_first, page_after_cursor, fetch_by_ids, enrich_lookup_single, bulk_batches, realtime_pipeline, offline_pipeline, join_partial, union_results, carry_forward_merge, merged_document, emission_cycles,
+    reflow_count_slices, slice_partition, page_first, page_after_cursor, fetch_by_ids, enrich_lookup_single, bulk_batches, realtime_pipeline, offline_pipeline, join_partial, union_results, carry_forward_merge, merged_document, emission_cycles, retry_outcomes,
 )}
 
 _COORDINATES = "kafka_topic, kafka_partition, kafka_offset"
@@ -317,6 +353,8 @@ SQL = {
     "enrich_lookup_single": f"""select record_id, '{GEO}' as enricher_name, s.store_id is not null as success, case when s.store_id is null then 'not found' end as error_message, s.geo_region, s.timezone as geo_timezone
       from purchase_documents left join stores s using (store_id)""",
     "bulk_batches": f"""select {_COORDINATES}, n // 20 as bulk_id, (n % 20)::int as position from (select *, row_number() over (partition by kafka_topic, kafka_partition order by kafka_offset) - 1 as n from raw_documents)""",
+    "retry_outcomes": f"""select d as document_id, least(fails, {RETRIES}) + 1 as attempts, fails <= {RETRIES} as success
+      from (select o_orderkey::varchar as d, ('0x' || substr(md5(d), 1, 8))::bigint % {WORSE} as fails from orders)""",
     "realtime_pipeline": _pipeline_sql("true"),
     "offline_pipeline": _pipeline_sql("reflow"),
     "join_partial": f"select document_id, reported from ({_pipeline_sql('true')}) where is_partial",

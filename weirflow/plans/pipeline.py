@@ -17,8 +17,10 @@ from .. import sinks
 from ..config import EnricherConfig, PipelineConfig
 from ..operators import enrich, guard, joiner
 from ..sources import messages
+from ..sources.docstore import IdsReader
 from ..streaming import processors
 
+#: Runs an enricher over documents.
 Call = Callable[[DataFrame, EnricherConfig], DataFrame]
 
 
@@ -33,6 +35,22 @@ def service_of(e: EnricherConfig) -> enrich.Service:
     return enrich.Service(e.name, e.class_name, e.properties, e.bulk_size if e.bulk_enabled else 0, e.async_capacity, e.async_timeout_ms, e.rate_limit_per_second, e.max_retries, e.retry_delay_ms)
 
 
+def store_url(cfg: PipelineConfig) -> str:
+    host = str(cfg.elasticsearch.hosts[0])
+    return host if "://" in host else f"http://{host}"
+
+
+def refetch_of(cfg: PipelineConfig) -> enrich.Refetch | None:
+    """The client that reads documents again from the configured store; None without a store."""
+    s = cfg.elasticsearch
+    return IdsReader(store_url(cfg), s.index, s.username, s.password, s.socket_timeout_ms / 1000) if s.hosts else None
+
+
+def service_calls(refetch: enrich.Refetch | None) -> Call:
+    """Enrichers as services; failed reflow documents are read and tried again if ``refetch`` is given."""
+    return lambda rows, e: enrich.call_service(rows, service_of(e), None if not e.rate_limit_per_second else e.parallelism, refetch=refetch)
+
+
 def batch_results(cfg: PipelineConfig, raw: DataFrame | None, reflow: DataFrame | None, call: Call, order: list[str], chunk: str | None = None) -> DataFrame:
     """Results of all enrichers for a batch.
 
@@ -69,8 +87,11 @@ def _fan_out(parsed: DataFrame, cfg: PipelineConfig, path: str) -> DataFrame:
     )
 
 
-def stream_documents(spark: SparkSession, cfg: PipelineConfig, raw_folder: str | None = None, staged_folder: str | None = None) -> DataFrame:
-    """The output documents as a stream of ``value``; folders stand in for the topics, staged reflow documents come from a folder."""
+def stream_documents(spark: SparkSession, cfg: PipelineConfig, raw_folder: str | None = None, staged_folder: str | None = None, refetch: enrich.Refetch | None = None) -> DataFrame:
+    """The output documents as a stream of ``value``; folders stand in for the topics, staged reflow documents come from a folder.
+
+    Reflow documents that fail are read again by ``refetch``, by default from the configured store, and tried again.
+    """
     cfg.validate()
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.STATE_STORE)
     inputs = []
@@ -87,7 +108,8 @@ def stream_documents(spark: SparkSession, cfg: PipelineConfig, raw_folder: str |
     kept = processors.guard(documents.where(~free))
     if unguarded:
         kept = kept.unionByName(documents.where(free).select(*processors.DOCUMENT.names))
-    results = union_all([enrich.call_service(kept.where(F.col("enricher_name") == e.name).drop("enricher_name"), service_of(e), None if not e.rate_limit_per_second else e.parallelism) for e in cfg.enrichers])
+    call = service_calls(refetch or refetch_of(cfg))
+    results = union_all([call(kept.where(F.col("enricher_name") == e.name).drop("enricher_name"), e) for e in cfg.enrichers])
     results = results.withColumnRenamed("enriched_fields", "fields_json")
     joined = processors.join(results, cfg.names(), cfg.reflow_names(), cfg.joiner.timeout_ms, cfg.joiner.reflow_expected == "triggering_only")
     typed = joined.select("document_id", F.try_variant_get(F.try_parse_json("original_payload"), "$", "map<string,variant>").alias("original_payload"), F.try_variant_get(F.try_parse_json("enrichments"), "$", "map<string,map<string,variant>>").alias("enrichments"), F.unix_millis(F.current_timestamp()).alias("timestamp"))

@@ -84,6 +84,21 @@ def to_raw(rows: DataFrame) -> DataFrame:
     )
 
 
+class IdsReader:
+    """Current documents of a remote store by id, for use where there is no session; one POST url/index/_search for up to ``page`` ids."""
+
+    def __init__(self, url: str, index: str = "", user: str = "", password: str = "", timeout: float = 30, page: int = 1000):
+        self.options, self.page = {"url": url, "index": index, "user": user, "password": password, "timeout": timeout}, page
+
+    def __call__(self, ids: list[str]) -> dict[str, dict]:
+        found = {}
+        for i in range(0, len(ids), self.page):
+            part = ids[i : i + self.page]
+            hits = _SearchReader(self.options)._post({"size": len(part), "query": {"ids": {"values": part}}})["hits"]["hits"]
+            found |= {str(h["_id"]): h["_source"] for h in hits if isinstance(h.get("_source"), dict)}
+        return found
+
+
 class _Slice(InputPartition):
     def __init__(self, i: int):
         self.i = i
