@@ -127,6 +127,28 @@ def test_failed_reflow_documents_are_tried_again(spark, tmp_path):
     assert got["x"] == ("x", {"a": {"a": "x"}, "b": {"old": 1}})
 
 
+class Asks(Echo):
+    def reflow_query(self, criteria):
+        return {"term": {"kind": (criteria or {}).get("k")}}
+
+
+def test_reflow_topics_are_staged_and_enriched(spark, tmp_path):
+    store = DocStore(spark.createDataFrame([(f"d{i}", json.dumps({"kind": "odd" if i % 2 else "even", "v": i, "enrichments": {"b": {"old": i}}})) for i in range(6)], "document_id string, source string"))
+    (tmp_path / "r").mkdir()
+    ask = lambda name, k: json.dumps({"enricherName": name, "queryCriteria": {"k": k}})
+    (tmp_path / "r" / "1.json").write_text("\n".join([ask("a", "odd"), ask("a", "none"), ask("nobody", "even"), "{broken"]))
+    c, staged = cfg("OFFLINE"), str(tmp_path / "staged")
+    c.enrichers[0].class_name, c.reflow.slice_threshold, c.enrichers[0].async_timeout_ms = "tests.test_streaming.Asks", 2, 5000
+    stage = pipeline.stage_requests(spark, c, store, staged, str(tmp_path / "requests"), str(tmp_path))
+    query = sinks.write(pipeline.stream_documents(spark, c, staged_folder=staged), str(tmp_path / "checkpoint"), folder=str(tmp_path / "out"))
+    try:
+        got = {d["documentId"]: d["enrichments"] for d in until(query, lambda: read(spark, str(tmp_path / "out")), 3)}
+        assert stage.isActive
+    finally:
+        stage.stop()
+    assert got == {f"d{i}": {"a": {"a": i}, "b": {"old": i}} for i in (1, 3, 5)}
+
+
 def test_upsert_closes_the_loop(spark):
     old = spark.createDataFrame([("a", "1"), ("b", "1")], "document_id string, source string")
     new = spark.createDataFrame([("b", "2"), ("c", "2")], "document_id string, source string")

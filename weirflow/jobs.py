@@ -1,4 +1,8 @@
-"""``python -m weirflow.jobs CONFIG CHECKPOINT``: runs a pipeline from a YAML file."""
+"""``python -m weirflow.jobs CONFIG CHECKPOINT [STAGED_FOLDER]``: runs a pipeline from a YAML file.
+
+Reflow requests are read from their topics and the documents they ask for staged from the configured store, in
+CHECKPOINT-staged unless a folder is given. Without a store someone else writes the folder.
+"""
 
 from __future__ import annotations
 
@@ -13,12 +17,21 @@ from .session import builder
 def main(args: list[str]) -> None:
     cfg = load(args[0]).validate()
     spark = builder().getOrCreate()
-    values = pipeline.stream_documents(spark, cfg, staged_folder=args[2] if len(args) > 2 else None)
+    staged, stage = args[2] if len(args) > 2 else None, None
+    if cfg.reflow_names() and cfg.elasticsearch.hosts:
+        staged = staged or f"{args[1].rstrip('/')}-staged"
+        stage = pipeline.stage_requests(spark, cfg, pipeline.remote_store(spark, cfg), staged, f"{args[1].rstrip('/')}-requests")
+    elif cfg.reflow_names() and staged is None:
+        raise ValueError("reflow needs elasticsearch.hosts, or STAGED_FOLDER with documents that are staged already")
+    values = pipeline.stream_documents(spark, cfg, staged_folder=staged)
     query = sinks.write(values, args[1], cfg.kafka.bootstrap_servers, cfg.kafka.output_topic)
     if cfg.mode == "OFFLINE":
+        if stage:
+            stage.processAllAvailable()
+            stage.stop()
         sinks.drain(query, cfg.joiner.timeout_ms / 1000 + 30)
     else:
-        query.awaitTermination()
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

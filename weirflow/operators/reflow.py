@@ -66,12 +66,16 @@ def slices_of(store: DocStore, criteria: dict | None, threshold: int = 10_000, m
 def stage_reflow(messages: DataFrame, batch_id: int, store: DocStore, folder: str, threshold: int = 10_000, max_slices: int = 10, to_query=geo_reflow_query) -> None:
     """``foreachBatch`` body: fetches what the batch's requests ask for and writes it as JSON lines of raw messages, per batch id.
 
+    ``to_query`` makes a query of the criteria; as a mapping it does so by enricher, and requests for others are left out.
     A replayed batch overwrites its own folder. Requests are few; documents never pass the driver.
     """
+    query_of = to_query.get if isinstance(to_query, dict) else lambda _: to_query
     rows = messages.select("enricher_name", "query_criteria").distinct().collect()
     out = None
     for row in rows:
-        for query, i, n in slices_of(store, json.loads(row.query_criteria) if row.query_criteria else None, threshold, max_slices, to_query):
+        if query_of(row.enricher_name) is None:
+            continue
+        for query, i, n in slices_of(store, json.loads(row.query_criteria) if row.query_criteria else None, threshold, max_slices, query_of(row.enricher_name)):
             part = store.fetch_slice(query, i, n).withColumn("enricher_name", F.lit(row.enricher_name))
             out = part if out is None else out.unionByName(part)
     if out is not None:

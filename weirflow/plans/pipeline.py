@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..config import EnricherConfig, PipelineConfig
-from ..operators import enrich, guard, joiner
+from ..enrichers.base import create
+from ..operators import enrich, guard, joiner, reflow
 from ..sources import messages
-from ..sources.docstore import IdsReader
+from ..sources.docstore import DocStore, IdsReader, SearchSource
 from ..streaming import processors
 
 #: Runs an enricher over documents.
@@ -76,6 +77,30 @@ def run_batch(cfg: PipelineConfig, raw: DataFrame | None, reflow: DataFrame | No
     return joiner.joined(results, cfg.names(), cfg.reflow_names(), keys, seq, cfg.joiner.reflow_expected == "triggering_only")
 
 
+def remote_store(spark: SparkSession, cfg: PipelineConfig) -> DocStore:
+    """The configured store, read anew by every use."""
+    s = cfg.elasticsearch
+    spark.dataSource.register(SearchSource)
+    options = {"url": store_url(cfg), "index": s.index, "user": s.username, "password": s.password, "timeout": s.socket_timeout_ms / 1000, "slices": cfg.reflow.max_slices, "page": cfg.reflow.fetch_batch_size}
+    if cfg.reflow.sort_field:
+        options["sort"] = cfg.reflow.sort_field
+    return DocStore(spark.read.format("weirflow_search").options(**options).load())
+
+
+def stage_requests(spark: SparkSession, cfg: PipelineConfig, store: DocStore, staged_folder: str, checkpoint: str, folder: str | None = None, trigger: str = "1 second"):
+    """Starts the reflow stage: requests of all reflow topics, with the documents of the store that they ask for written to ``staged_folder``."""
+    cfg.validate()
+    asked = [e for e in cfg.enrichers if e.reflow_enabled]
+    queries = {e.name: create(e.class_name, e.properties).reflow_query for e in asked}
+    scanned = messages.scan(spark, sorted({e.reflow_topic for e in asked}), cfg.kafka.bootstrap_servers, folder, starting=cfg.kafka.starting_offsets)
+    requests = messages.split_malformed(messages.parse_reflow(scanned), cfg.malformed)[0]
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        reflow.stage_reflow(batch, batch_id, store, staged_folder, cfg.reflow.slice_threshold, cfg.reflow.max_slices, queries)
+
+    return requests.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=trigger).foreachBatch(body).start()
+
+
 def _fan_out(parsed: DataFrame, cfg: PipelineConfig, path: str) -> DataFrame:
     """One row per document and enricher of the path. The topic is read once; enrichers are a handful."""
     names = cfg.names() if path == "realtime" else cfg.reflow_names()
