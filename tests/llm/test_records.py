@@ -151,3 +151,17 @@ def test_places_with_two_errors_or_other_rare_words(spark):
     rows += [("77 Aaronfeld Bertramsen Wexhollow Yarrowby Road", None, None), ("77 Wexhollow Yarrowby Road", None, None), ("78 Wexhollow Yarrowby Road", None, None)]
     got = {tuple(r) for r in A.same_place(frame(spark, [(None, None, None, None, *r) for r in rows])).collect()}
     assert {(0, 1), (4, 5)} <= got and all({a, b} in ({0, 1}, {2, 3}, {4, 5}) for a, b in got)
+
+
+def test_long_names_are_aligned_whole(monkeypatch):
+    import random
+
+    long = tuple(f"{chr(97 + i)}wieow{chr(97 + i) * 3}hollow" for i in range(20))
+    assert N.align(long, long[-3:])[1:] == (0, 3, True)
+    # They agree in the first twelve and differ in the rest.
+    assert N.names_agree(long[:12] + ("xaverstett", "zollikofer"), long[:12] + ("yrmelbrand", "zuckwarder")) == 0
+    rnd, words = random.Random(4), ["ann", "anna", "a", "robert", "bob", "rob", "miller", "milner", "m", "trading", "trade", "trad", "r"]
+    cases = [tuple(tuple(sorted(rnd.sample(words, rnd.randint(1, 7)))) for _ in "ab") for _ in range(300)]
+    all_ways = [N.align(*c) for c in cases]
+    monkeypatch.setattr(N, "DENSE", 0)
+    assert [(round(w, 6), *rest) for w, *rest in map(lambda c: N.align(*c), cases)] == [(round(w, 6), *rest) for w, *rest in all_ways]

@@ -15,7 +15,7 @@ it contradicts itself.
 
 Defined cases: a record without a name, or without any supporting fact, links with none; nulls in any column
 only mean that the fact is missing; swapped, joined or empty name fields are one bag of tokens; repeated rows
-are linked; very long names keep all tokens for the index, alignment takes the first twelve; other columns are ignored;
+are linked; very long names keep all tokens, for the index and for alignment; other columns are ignored;
 an empty table gives no pairs.
 """
 
@@ -58,6 +58,8 @@ DOUBLE = (("maria teresa", "mariateresa"), ("jean baptiste", "jeanbaptiste"))
 #: What a match of two tokens is worth.
 SAME, NICK, NEAR, ABBREVIATED, INITIAL = 1.0, 0.95, 0.9, 0.8, 0.6
 STRONG = 0.85
+#: Up to so many tokens all assignments are gone through.
+DENSE = 12
 #: Forms that share one fact and still all meet each other; in larger blocks name tokens decide.
 BLOCK = 64
 #: Letters that a form of a word or of an e-mail address keeps.
@@ -158,8 +160,9 @@ def align(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[float, int, int, bool
     """Best assignment of tokens: its worth, how many of the shorter side stay alone, how many match, and whether a long token matches strongly."""
     if len(a) > len(b):
         a, b = b, a
-    a, b = a[:12], b[:12]
     worth = [[alike(x, y) for y in b] for x in a]
+    if len(b) > DENSE:
+        return _align_long(a, b, worth)
     best: dict[int, tuple[float, int, bool]] = {0: (0.0, 0, False)}
     for i, row in enumerate(worth):
         step = dict(best)  # this token stays alone
@@ -174,6 +177,74 @@ def align(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[float, int, int, bool
     return total, len(a) - n, n, strong
 
 
+def _align_long(a: tuple[str, ...], b: tuple[str, ...], worth: list[list[float]]) -> tuple[float, int, int, bool]:
+    """The same for many tokens: the assignment of greatest worth, then of most matches, then of most strong ones, in whole numbers.
+
+    Tokens that nothing connects by a chain of matches can't compete, so each connected part is assigned by itself.
+    """
+    strong = lambda i, j: worth[i][j] >= STRONG and min(len(a[i]), len(b[j])) >= 4
+    unit = len(a) + 1
+    value = {(i, j): (round(w * 100) * unit + 1) * unit + strong(i, j) for i, row in enumerate(worth) for j, w in enumerate(row) if w}
+    of_a: dict[int, list[int]] = {}
+    of_b: dict[int, list[int]] = {}
+    for i, j in value:
+        of_a.setdefault(i, []).append(j)
+        of_b.setdefault(j, []).append(i)
+    pairs: list[tuple[int, int]] = []
+    seen: set[int] = set()
+    for start in of_a:
+        if start in seen:
+            continue
+        rows, columns, todo = [start], set(), [start]
+        seen.add(start)
+        while todo:
+            for j in of_a[todo.pop()]:
+                if j not in columns:
+                    columns.add(j)
+                    more = [i for i in of_b[j] if i not in seen]
+                    seen.update(more)
+                    rows += more
+                    todo += more
+        at = sorted(columns)
+        chosen = assignment([[value.get((i, j), 0) for j in at] for i in rows])
+        pairs += [(rows[r], at[c]) for r, c in chosen if (rows[r], at[c]) in value]
+    return sum(worth[i][j] for i, j in pairs), len(a) - len(pairs), len(pairs), any(strong(i, j) for i, j in pairs)
+
+
+def assignment(values: list[list[int]]) -> list[tuple[int, int]]:
+    """Rows and columns of the assignment of greatest sum (Hungarian method)."""
+    if len(values) > len(values[0]):
+        return [(r, c) for c, r in assignment([list(column) for column in zip(*values, strict=True)])]
+    n, m = len(values), len(values[0])
+    u, v, owner = [0] * (n + 1), [0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        owner[0], at = i, 0
+        least, way, used = [float("inf")] * (m + 1), [0] * (m + 1), [False] * (m + 1)
+        while True:
+            used[at] = True
+            row, step, to = owner[at], float("inf"), 0
+            for j in range(1, m + 1):
+                if not used[j]:
+                    cost = -values[row - 1][j - 1] - u[row] - v[j]
+                    if cost < least[j]:
+                        least[j], way[j] = cost, at
+                    if least[j] < step:
+                        step, to = least[j], j
+            for j in range(m + 1):
+                if used[j]:
+                    u[owner[j]] += step
+                    v[j] -= step
+                else:
+                    least[j] -= step
+            at = to
+            if not owner[at]:
+                break
+        while at:
+            owner[at] = owner[way[at]]
+            at = way[at]
+    return [(owner[j] - 1, j - 1) for j in range(1, m + 1) if owner[j]]
+
+
 def names_agree(a: tuple[str, ...], b: tuple[str, ...]) -> int:
     """2: the names agree; 1: they agree in one token only, or but for initials; 0: they don't."""
     _, alone, n, strong = align(a, b)
