@@ -94,3 +94,24 @@ def test_common_phrases_keep_seeds():
     items = [(i, " ".join(phrase)) for i in range(30)]
     index = L.Index(items)
     assert len(index.hashes) and len({int(i) for i in index.item}) == 30
+
+
+def test_short_passages():
+    rnd = random.Random(21)
+    fresh = lambda n: ["".join(rnd.choice("qrstuvwxyz") for _ in range(7)) for _ in range(n)]
+    items = [fresh(n) for n in range(8, 45)]
+    index = L.Index([(i, " ".join(w)) for i, w in enumerate(items)])
+    # Whole, its half, and whole with one word in eight changed; a quarter is none.
+    for made, expected in ((list, True), (lambda w: w[: (len(w) + 1) // 2], True), (lambda w: [x if i % 8 != 4 else "zzchanged" for i, x in enumerate(w)], True), (lambda w: w[: len(w) // 4], False)):
+        row, item = L.leaks_of([page(made(w)) for w in items], index)
+        assert sorted(zip(row.tolist(), item.tolist(), strict=True)) == ([(i, i) for i in range(len(items))] if expected else [])
+
+
+def test_short_passages_of_common_phrases():
+    rnd = random.Random(22)
+    fresh = lambda n: ["".join(rnd.choice("qrstuvwxyz") for _ in range(7)) for _ in range(n)]
+    phrase = fresh(6)
+    items = [phrase + fresh(4) for _ in range(30)]
+    index = L.Index([(i, " ".join(w)) for i, w in enumerate(items)])
+    row, item = L.leaks_of([page(w) for w in items], index)
+    assert {(i, i) for i in range(30)} <= set(zip(row.tolist(), item.tolist(), strict=True))

@@ -20,6 +20,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -35,8 +36,10 @@ from .lookalike import forms, slices
 MASKS = ("1111", "110101", "1010011")
 COMMON = 8
 NEAR = 6
-#: Places of a passage that must be hit on one band of diagonals for an alignment; a stretch of SPAN with one word in eight changed has more.
+#: Places of a passage that must be hit on one band of diagonals for an alignment, at most; ``Index.need`` is less where
+#: a stretch of SPAN with one word in EDITED changed may have fewer.
 HITS = 7
+EDITED = 8
 BAND = 8
 #: Further words of the text that a window takes in: for an insertion, and at its ends.
 JOIN = 24
@@ -112,6 +115,8 @@ class Index:
         total = np.cumsum(marked)
         near = total[np.minimum(at + NEAR + 1, len(codes))] - total[np.maximum(at - NEAR, 0)] > 0
         keep = rare | ~near
+        mask = np.repeat(np.arange(len(MASKS)), [len(f[0]) for f in found])
+        self.need = needed(lengths, item[at[keep]], place[at[keep]], np.array([len(m) for m in MASKS])[mask[keep]])
         at, key = at[keep], key[keep]
         order = np.argsort(key, kind="stable")
         self.hashes, self.item, self.place = key[order], item[at[order]].astype(np.int32), place[at[order]].astype(np.int32)
@@ -134,6 +139,27 @@ class Index:
         return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
 
 
+def needed(lengths: np.ndarray, item: np.ndarray, place: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Places to be hit, by passage: as many as any stretch of SPAN keeps of its seeds after its edits, from 1 to HITS."""
+    out = np.full(len(lengths), HITS, np.int64)
+    order = np.lexsort((width, place, item))
+    item, place, width = item[order], place[order], width[order]
+    first = np.concatenate([[True], (item[1:] != item[:-1]) | (place[1:] != place[:-1])]) if len(item) else np.zeros(0, bool)
+    item, place, width = item[first], place[first], width[first]
+    ends = np.searchsorted(item, np.arange(len(lengths) + 1))
+    for i, n in enumerate(lengths.tolist()):
+        size = math.ceil(SPAN * n)
+        p, w = place[ends[i] : ends[i + 1]], width[ends[i] : ends[i + 1]]
+        # A place lies in the stretches that begin from p + w - size to p.
+        low, high = np.maximum(p + w - size, 0), np.minimum(p, n - size) + 1
+        whole = low < high
+        counts = np.cumsum(np.bincount(low[whole], minlength=n + 2) - np.bincount(high[whole], minlength=n + 2))[: n - size + 1]
+        # An edit spoils the places whose seed reaches over it, at most so many.
+        spoilt = np.cumsum(np.bincount(p, minlength=n + 1) - np.bincount(p + w, minlength=n + 1)).max()
+        out[i] = min(HITS, max(1, int(counts.min()) - size // EDITED * int(spoilt)))
+    return out
+
+
 def stretch(windows: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Span (in words of the passage) and score (in words) of each pair's best local alignment."""
     count, width, height = len(windows), max(map(len, passages)), max(map(len, windows))
@@ -171,8 +197,8 @@ def stretch(windows: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.n
     return np.maximum(end - start, 0), (best >> shift) / MATCH
 
 
-def candidates(at: np.ndarray, place: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs with ``HITS`` places or more on one band of diagonals: pair, and first and last diagonal of its bands."""
+def candidates(at: np.ndarray, place: np.ndarray, pair: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs with the places that their item needs or more on one band of diagonals: pair, and first and last diagonal of its bands."""
     diagonal = at - place
     low = int(diagonal.min()) - BAND
     places = int(place.max()) + 1
@@ -181,7 +207,7 @@ def candidates(at: np.ndarray, place: np.ndarray, pair: np.ndarray) -> tuple[np.
     for offset in (0, BAND // 2):
         cell = pair * bands + (diagonal - low + offset) // BAND
         cells, n = np.unique(np.unique(cell * places + place) // places, return_counts=True)
-        cells = cells[n >= HITS]
+        cells = cells[n >= need[cells // bands % len(need)]]
         first = cells % bands * BAND + low - offset
         found.append((cells // bands, first, first + BAND - 1))
     which, first, last = (np.concatenate([f[k] for f in found]) for k in range(3))
@@ -203,7 +229,9 @@ def leaks_of(texts: list[str], index: Index) -> tuple[np.ndarray, np.ndarray]:
     if not len(at):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     base = np.concatenate([[0], np.cumsum(lengths)])
-    pair, first, last = candidates(at - base[document[at]], place.astype(np.int64), document[at] * len(index.keys) + item)
+    # With fewer places bands may run together and a window's best stretch be another one, so bands of HITS are looked at by themselves too.
+    by_need = [candidates(at - base[document[at]], place.astype(np.int64), document[at] * len(index.keys) + item, need) for need in (index.need, np.full(len(index.need), HITS))]
+    pair, first, last = np.unique(np.concatenate([np.stack(c) for c in by_need], axis=1), axis=1)
     row, it = pair // len(index.keys), pair % len(index.keys)
     size = np.array([len(p) for p in index.passages], np.int64)[it]
     low, high = np.maximum(base[row] + first - MARGIN, base[row]), np.minimum(base[row] + last + size + JOIN + MARGIN, base[row + 1])
