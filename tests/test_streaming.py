@@ -149,6 +149,16 @@ def test_reflow_topics_are_staged_and_enriched(spark, tmp_path):
     assert got == {f"d{i}": {"a": {"a": i}, "b": {"old": i}} for i in (1, 3, 5)}
 
 
+def test_dead_letters_are_written(spark, tmp_path):
+    for name, text in (("raw", '{"documentId": "x"}\n{broken'), ("r", '{"enricherName": "a"}\n[1]'), ("staged/batch=0", '{"documentId": "y"}\n{"payload": {}}')):
+        (tmp_path / name).mkdir(parents=True)
+        (tmp_path / name / "1.txt").write_text(text)
+    values = pipeline.dead_letters(spark, cfg(), str(tmp_path), str(tmp_path / "staged"))
+    query = sinks.write(values, str(tmp_path / "checkpoint"), folder=str(tmp_path / "dead"))
+    got = until(query, lambda: read(spark, str(tmp_path / "dead")), 3, 40)
+    assert sorted((d["topic"], d["value"]) for d in got) == [("r", "[1]"), ("raw", "{broken"), ("staged", '{"payload": {}}')]
+
+
 def test_upsert_closes_the_loop(spark):
     old = spark.createDataFrame([("a", "1"), ("b", "1")], "document_id string, source string")
     new = spark.createDataFrame([("b", "2"), ("c", "2")], "document_id string, source string")

@@ -15,6 +15,7 @@ class KafkaConfig:
     raw_topic: str = ""
     output_topic: str = ""
     starting_offsets: str = "earliest"
+    dead_letter_topic: str = ""
 
 
 @dataclass

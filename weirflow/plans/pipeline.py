@@ -112,6 +112,22 @@ def _fan_out(parsed: DataFrame, cfg: PipelineConfig, path: str) -> DataFrame:
     )
 
 
+def _staged(spark: SparkSession, staged_folder: str) -> DataFrame:
+    return spark.readStream.schema("value string").text(f"{staged_folder}/*").select("value", F.lit("staged").alias("topic"), F.lit(0).alias("partition"), messages.file_offset().alias("offset"))
+
+
+def dead_letters(spark: SparkSession, cfg: PipelineConfig, folder: str | None = None, staged_folder: str | None = None) -> DataFrame:
+    """The malformed raw, reflow and staged messages as a stream of ``value``: JSON of topic, partition, offset and the message."""
+    scan = lambda topics: messages.scan(spark, topics, cfg.kafka.bootstrap_servers, folder, starting=cfg.kafka.starting_offsets)
+    parsed = [messages.parse_raw(scan([cfg.kafka.raw_topic]))] if cfg.mode == "REALTIME" else []
+    if cfg.reflow_names():
+        parsed.append(messages.parse_reflow(scan(sorted({e.reflow_topic for e in cfg.enrichers if e.reflow_enabled}))))
+        if staged_folder is not None:
+            parsed.append(messages.parse_raw(_staged(spark, staged_folder)))
+    rows = union_all([messages.split_malformed(p)[1] for p in parsed])
+    return rows.select(F.to_json(F.struct("topic", "partition", "offset", "value")).alias("value"))
+
+
 def stream_documents(spark: SparkSession, cfg: PipelineConfig, raw_folder: str | None = None, staged_folder: str | None = None, refetch: enrich.Refetch | None = None) -> DataFrame:
     """The output documents as a stream of ``value``; folders stand in for the topics, staged reflow documents come from a folder.
 
@@ -124,8 +140,7 @@ def stream_documents(spark: SparkSession, cfg: PipelineConfig, raw_folder: str |
         scanned = messages.scan(spark, [cfg.kafka.raw_topic], cfg.kafka.bootstrap_servers, raw_folder, starting=cfg.kafka.starting_offsets)
         inputs.append(_fan_out(messages.split_malformed(messages.parse_raw(scanned), cfg.malformed)[0], cfg, "realtime"))
     if staged_folder is not None and cfg.reflow_names():
-        lines = spark.readStream.schema("value string").text(f"{staged_folder}/*").select("value", F.lit("staged").alias("topic"), F.lit(0).alias("partition"), messages.file_offset().alias("offset"))
-        parsed = messages.parse_raw(lines).withColumn("enricher_name", F.try_variant_get(F.try_parse_json("value"), "$.enricherName", "string"))
+        parsed = messages.parse_raw(_staged(spark, staged_folder)).withColumn("enricher_name", F.try_variant_get(F.try_parse_json("value"), "$.enricherName", "string"))
         inputs.append(_fan_out(messages.split_malformed(parsed, cfg.malformed)[0], cfg, "reflow"))
     documents = union_all(inputs)
     unguarded = [e.name for e in cfg.enrichers if not e.reflow_enabled]
