@@ -6,7 +6,7 @@ ignored, so that a changed word under an ignored position leaves the seed's hash
 passages form a sorted table that is broadcast, and every window of every text is joined with it where the
 text is read; nothing of the corpus is shuffled. Around the hits, a local alignment that tolerates changed,
 lost and added words, and a longer insertion, finds the best stretch of the passage; it counts as leaked if
-it spans ``SPAN`` of the passage and most of it matches.
+it spans ``SPAN`` of the passage and most of it matches. Places whose words alone rule that out aren't aligned.
 
 A seed of many passages (a phrase in common) says little; it is used only where its passage has no rarer
 seed nearby, so no part of a passage is without seeds. Passages are a stated query set: they are worked off
@@ -23,7 +23,9 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -44,31 +46,46 @@ BAND = 8
 #: Further words of the text that a window takes in: for an insertion, and at its ends.
 JOIN = 24
 MARGIN = 12
-TOGETHER = 64
+#: Pairs that are aligned, and whose words are looked at, at a time.
+TOGETHER, LOOKED_AT = 64, 512
 SPAN = 0.42
 DENSITY = 0.7
 LEAST = 8
-BLOCK = 2_000_000
+BLOCK, HELD = 2_000_000, 4
 #: Characters of texts that are searched at a time.
 SLICE = 2_000_000
 #: Alignment scores in tenths of a word.
 MATCH, MISMATCH, SKIP_ITEM, OPEN, EXTEND = 10, -10, 10, 10, 1
+_GREEK_OR_CYRILLIC = re.compile("[\u0370-\u052f\u1c80-\u1c8f\u1f00-\u1fff]")
 _WORD = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]|[^\W_぀-ヿ㐀-鿿豈-﫿]+")
-_ESCAPE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\[nrtbf]|%([0-9A-F]{2})(?=%|\b)")
+_ESCAPE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\[nrtbf]|((?:%[0-9a-fA-F]{2})+)")
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 FILTER_BITS = 22
 
 
 def _unescaped(m: re.Match) -> str:
+    if m[3]:
+        return unquote(m[3], errors="ignore")
     code = m[1] or m[2]
     return chr(int(code, 16)) if code and not 0xD800 <= int(code, 16) < 0xE000 else " "
 
 
 def plain(texts: list[str]) -> list[str]:
-    """Texts with escapes undone, look-alikes unified, in one case."""
+    """Texts with escapes undone, look-alikes unified, in one case.
+
+    A letter whose small or capital form looks like another is that other one in both cases (Greek nu is like v and like N).
+    """
     texts = [html.unescape(t) if "&" in t else t for t in texts]
-    texts = [_ESCAPE.sub(_unescaped, t) if "\\" in t else t for t in texts]
-    return [t.casefold() for t in forms(texts)]
+    texts = [_ESCAPE.sub(_unescaped, t) if "\\" in t or "%" in t else t for t in texts]
+    texts = [t.casefold() for t in forms(texts)]
+    return [(t.translate(_both_cases()) if not t.isascii() and _GREEK_OR_CYRILLIC.search(t) else t).replace("v", "n") for t in texts]
+
+
+@cache
+def _both_cases() -> dict[int, str]:
+    """Small letters whose capitals look like another letter's: that letter, as the capitals have become it."""
+    small = [c for c in map(chr, range(0x80, 0x2000)) if c != c.upper() and _GREEK_OR_CYRILLIC.match(c)]
+    return {ord(c): f.casefold() for c, f in zip(small, forms([c.upper() for c in small]), strict=True) if f != c.upper() and f.casefold() != c}
 
 
 def words(text: str) -> list[str]:
@@ -160,6 +177,31 @@ def needed(lengths: np.ndarray, item: np.ndarray, place: np.ndarray, width: np.n
     return out
 
 
+def hopeful(windows: list[np.ndarray], passages: list[np.ndarray], most: int) -> np.ndarray:
+    """Whether a pair's alignment may be accepted, by the words alone.
+
+    A word of the passage within the aligned span counts +1 if it is matched and -1 if not, so of an accepted span at least
+    (1 + DENSITY) / 2 of the words stand in the window. Codes of words are below ``most``.
+    """
+    row = lambda parts: np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    there, asked = row(windows) * most + np.concatenate(windows), row(passages) * most + np.concatenate(passages)
+    there = np.sort(there[np.concatenate(windows) >= 0])
+    stands = np.zeros(len(asked), bool)
+    if len(there):
+        stands = there[np.minimum(np.searchsorted(there, asked), len(there) - 1)] == asked
+    sizes = np.array([len(p) for p in passages])
+    table = np.zeros((len(passages), int(sizes.max()) + 1))
+    at, place = row(passages), np.concatenate([np.arange(n) for n in sizes])
+    table[at, place + 1] = np.where(stands, 1.0, 0.0) - (1 + DENSITY) / 2 + 1e-9
+    total = np.cumsum(table, axis=1)
+    least = np.ceil(SPAN * sizes).astype(int)
+    # A span from i to j is good enough if total[j] >= total[i]; the least total[i] up to j - least is all that counts.
+    low = np.minimum.accumulate(total, axis=1)
+    before = np.arange(table.shape[1])[None, :] - least[:, None]
+    within = (before >= 0) & (np.arange(table.shape[1])[None, :] <= sizes[:, None])
+    return (within & (total >= np.take_along_axis(low, np.maximum(before, 0), axis=1))).any(axis=1)
+
+
 def stretch(windows: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Span (in words of the passage) and score (in words) of each pair's best local alignment."""
     count, width, height = len(windows), max(map(len, passages)), max(map(len, windows))
@@ -206,7 +248,10 @@ def candidates(at: np.ndarray, place: np.ndarray, pair: np.ndarray, need: np.nda
     found = []
     for offset in (0, BAND // 2):
         cell = pair * bands + (diagonal - low + offset) // BAND
-        cells, n = np.unique(np.unique(cell * places + place) // places, return_counts=True)
+        hit = np.sort(cell * places + place)
+        cell = hit[np.concatenate([[True], hit[1:] != hit[:-1]])] // places
+        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        cells, n = cell[first], np.diff(np.append(first, len(cell)))
         cells = cells[n >= need[cells // bands % len(need)]]
         first = cells % bands * BAND + low - offset
         found.append((cells // bands, first, first + BAND - 1))
@@ -218,13 +263,12 @@ def candidates(at: np.ndarray, place: np.ndarray, pair: np.ndarray, need: np.nda
     return (which[starts], first[starts], np.maximum.reduceat(last, starts)) if len(starts) else (which, first, last)
 
 
-def leaks_of(texts: list[str], index: Index) -> tuple[np.ndarray, np.ndarray]:
-    """Row of the text and item, for every leak."""
-    found = [words(t) for t in plain(texts)]
+def leaks_of(found: list[list[str]], index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """Row of the text and item, for every leak; texts are given as their words."""
     lengths = np.array([len(w) for w in found], np.int64)
     get = index.vocabulary.get
     codes = np.fromiter((get(x, -1) for x in chain.from_iterable(found)), np.int64, int(lengths.sum()))
-    document = np.repeat(np.arange(len(texts)), lengths)
+    document = np.repeat(np.arange(len(found)), lengths)
     at, item, place = index.hits(codes, document)
     if not len(at):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -237,6 +281,11 @@ def leaks_of(texts: list[str], index: Index) -> tuple[np.ndarray, np.ndarray]:
     low, high = np.maximum(base[row] + first - MARGIN, base[row]), np.minimum(base[row] + last + size + JOIN + MARGIN, base[row + 1])
     good = np.zeros(len(pair), bool)
     by_size = np.lexsort((high - low, size))
+    chance = np.zeros(len(pair), bool)
+    for start in range(0, len(by_size), LOOKED_AT):
+        part = by_size[start : start + LOOKED_AT]
+        chance[part] = hopeful([codes[low[k] : high[k]] for k in part], [index.passages[it[k]] for k in part], len(index.vocabulary))
+    by_size = by_size[chance[by_size]]
     for start in range(0, len(by_size), TOGETHER):
         part = by_size[start : start + TOGETHER]
         span, score = stretch([codes[low[k] : high[k]] for k in part], [index.passages[it[k]] for k in part])
@@ -248,7 +297,7 @@ def _blocks(items: DataFrame, key: str, passage: str) -> Iterator[list[tuple[int
     block, size = [], 0
     for k, text in items.select(key, passage).dropna().distinct().toLocalIterator():
         block.append((k, text))
-        size += len(text) // 4
+        size += len(text) // 4 if text.isascii() else len(text)
         if size >= BLOCK:
             yield block
             block, size = [], 0
@@ -260,21 +309,20 @@ def leaks(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "tex
     """``key`` and ``item_key`` of each text that holds a passage, or ``SPAN`` of it or more as one stretch."""
     types = to_arrow_type(df.schema[key].dataType), to_arrow_type(items.schema[item_key].dataType)
     kinds = df.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
-    out = None
-    for block in _blocks(items, item_key, passage):
-        shipped = df.sparkSession.sparkContext.broadcast(Index(block))
+    shipped = [df.sparkSession.sparkContext.broadcast(Index(block)) for block in _blocks(items, item_key, passage)]
+    out = df.sparkSession.createDataFrame([], f"a {kinds[0]}, b {kinds[1]}") if not shipped else None
+    for first in range(0, len(shipped), HELD):
 
-        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            index = shipped.value
+        def run(batches: Iterator[pa.RecordBatch], held=tuple(shipped[first : first + HELD])) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 pairs = [(k, t) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t]
                 for start, end in slices([len(t) for _, t in pairs], SLICE):
-                    row, it = leaks_of([t for _, t in pairs[start:end]], index)
-                    found = [pairs[start + r][0] for r in row.tolist()], [index.keys[i] for i in it.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array(f, t) for f, t in zip(found, types, strict=True)], ["a", "b"])
+                    found = [words(t) for t in plain([t for _, t in pairs[start:end]])]
+                    for index in (h.value for h in held):
+                        row, it = leaks_of(found, index)
+                        got = [pairs[start + r][0] for r in row.tolist()], [index.keys[i] for i in it.tolist()]
+                        yield pa.RecordBatch.from_arrays([pa.array(g, t) for g, t in zip(got, types, strict=True)], ["a", "b"])
 
         part = df.select(key, text).where(df[text].isNotNull()).mapInArrow(run, f"a {kinds[0]}, b {kinds[1]}")
         out = part if out is None else out.union(part)
-    if out is None:
-        out = df.sparkSession.createDataFrame([], f"a {kinds[0]}, b {kinds[1]}")
     return out.distinct().toDF(key, item_key)
