@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from weirflow.operators import change_log as C
 from weirflow.shared import scratch
 
@@ -48,3 +50,38 @@ def test_appends_compaction_and_vacuum(spark):
 
 def test_empty_feed(spark):
     assert C.rebuild(spark.createDataFrame([], SCHEMA), scratch(spark, "log")).count() == 0
+
+
+def test_merging_is_without_a_shuffle(spark):
+    log = C.ChangeLog(spark, scratch(spark, "log"), buckets=5)
+    for i in range(3):
+        log.append(spark.createDataFrame(changes(40, i), SCHEMA))
+    merged = log.current()
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert merged.count() == len(merged.collect())
+
+
+@pytest.mark.parametrize("second", ["append", "compact"])
+def test_two_writers(spark, monkeypatch, second):
+    """Whoever publishes second fails, and nothing of the first is lost."""
+    root, rows = scratch(spark, "log"), changes(60, 5)
+    one, two = C.ChangeLog(spark, root, buckets=2), C.ChangeLog(spark, root, buckets=2)
+    one.append(spark.createDataFrame(rows[:20], SCHEMA))
+    one.append(spark.createDataFrame(rows[20:40], SCHEMA))
+    version = two._version()
+    one.append(spark.createDataFrame(rows[40:], SCHEMA))
+    monkeypatch.setattr(two, "_version", lambda: version)
+    with pytest.raises(RuntimeError, match="another writer"):
+        two.append(spark.createDataFrame(rows[:5], SCHEMA)) if second == "append" else two.compact(1)
+    assert sorted(map(tuple, one.current().collect())) == fold(rows)
+
+
+def test_all_deleted(spark):
+    log = C.ChangeLog(spark, scratch(spark, "log"), buckets=2)
+    for at in (1, 2):
+        log.append(spark.createDataFrame([(at, 1, "x", at, "D", at, None, "", "")], SCHEMA))
+    log.compact(1)
+    assert log.current().count() == 0
+    log.append(spark.createDataFrame([(3, 1, "x", 0, "I", 3, None, "", "")], SCHEMA))
+    assert [tuple(r) for r in log.current().collect()] == [("x", 0)]
