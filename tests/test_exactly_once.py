@@ -45,6 +45,42 @@ def test_replay_gives_the_same(spark):
     assert store.deliver(df, "3").count() == 0
 
 
+def test_compaction_changes_nothing(spark):
+    rows = rows_of(300, 3)
+    df = spark.createDataFrame(rows, SCHEMA)
+    parts = [df.where(f"kafka_offset % 3 = {i}") for i in range(3)]
+    plain, packed = E.SeenStore(spark, E_root(spark), shards=3), E.SeenStore(spark, E_root(spark), shards=3)
+    for name, part in zip("124", parts, strict=True):
+        expected = sorted(plain.deliver(part, name).collect())
+        assert sorted(packed.deliver(part, name).collect()) == expected
+        packed.compact()
+    assert packed.deliveries() == ["1", "2", "4"] and len(packed._live(packed._log())) == 1
+    assert sorted(packed.repeated().collect()) == sorted(plain.repeated().collect())
+    assert sorted(packed.deliver(parts[0], "1").collect()) == sorted(plain.deliver(parts[0], "1").collect())
+
+
+def test_ids_are_stored_once(spark):
+    root = E_root(spark)
+    store = E.SeenStore(spark, root, shards=2)
+    df = spark.createDataFrame(rows_of(300), SCHEMA)
+    store.commit(df.where("batch_id < 15"), "1")
+    store.commit(df.where("batch_id >= 15"), "2")
+    ids = [r.id for r in store._read(store._live(store._log()), "dictionary", E.DICTIONARY).collect()]
+    assert len(ids) == len(set(ids)) == len({k[0] for r in rows_of(300) if (k := key(r))})
+    assert "id" not in store._read(store._live(store._log()), "bitmaps", E.BITMAPS).columns
+
+
+def test_two_writers_of_one_delivery(spark, monkeypatch):
+    """The one that publishes later reads back what the first committed."""
+    root = E_root(spark)
+    df = spark.createDataFrame(rows_of(100), SCHEMA)
+    one, two = E.SeenStore(spark, root, shards=2), E.SeenStore(spark, root, shards=2)
+    first = sorted(one.commit(df, "1").collect())
+    read = [{}, one._log()]
+    monkeypatch.setattr(two, "_log", lambda: read.pop(0))
+    assert sorted(two.commit(df.limit(5), "1").collect()) == first == sorted(one.commit(df, "1").collect())
+
+
 def test_codes_are_dense_and_exact(spark):
     messages = E.arrivals(spark.createDataFrame(rows_of(300), SCHEMA))
     coded = E.encode(E.words(messages, 2)).select("shard", "id", "code").distinct().collect()
