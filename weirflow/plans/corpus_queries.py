@@ -52,10 +52,17 @@ def _declared(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "stores").select(F.col("store_id").alias("source"), F.col("timezone").alias("zone"), F.lit(0).alias("rank"))
 
 
+def _usable(parsed: DataFrame) -> DataFrame:
+    """The rows whose wall clock tells something of its zone: those with a time of day and without a zone of their own."""
+    return parsed.where("wall_ms is not null and region is null and pmod(wall_ms, 86400000) <> 0")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    """A store's declared zone is its only admissible one, UTC that of all other sources."""
+    """A store's declared zone is weighed against UTC and taken, as it is declared; sources that no store declares are UTC."""
     bought = _purchases(spark, folder)
-    zones = instants.choose_zones(bought, _declared(spark, folder), decided=True).select("source", "zone")
+    declared = _declared(spark, folder).withColumn("declared", F.lit(True))
+    utc = declared.where("zone <> 'UTC'").select("source", F.lit("UTC").alias("zone"), F.lit(1).alias("rank"), F.lit(False).alias("declared"))
+    zones = instants.choose_zones(_usable(bought), declared.unionByName(utc)).select("source", "zone")
     bought = bought.join(zones, "source", "left").select(F.lit("purchase_documents").alias("source_table"), "record_id", instants.resolve(F.coalesce("zone", F.lit("UTC"))).alias("utc_millis"))
     clients = instants.parse(table(spark, folder, "client_documents"), [F.col("record_id")], F.col("registration_date"), F.lit(False))
     clients = clients.select(F.lit("client_documents").alias("source_table"), "record_id", instants.resolve(F.lit("UTC")).alias("utc_millis"))
@@ -68,8 +75,7 @@ def p5_zones(spark: SparkSession, folder: str) -> DataFrame:
     # Names of IANA zones are a few hundred at most.
     zones = sorted({r.zone for r in stores.select("zone").distinct().collect()}, key=lambda z: (z != "UTC", z))
     candidates = stores.select("source", F.posexplode(F.array(*map(F.lit, zones))).alias("rank", "zone"))
-    rows = _purchases(spark, folder).where("wall_ms is not null and region is null and pmod(wall_ms, 86400000) <> 0")
-    chosen = instants.choose_zones(rows, candidates)
+    chosen = instants.choose_zones(_usable(_purchases(spark, folder)), candidates).where("rows > 0")
     return chosen.join(stores.select("source", F.col("zone").alias("declared")), "source").select(F.col("source").alias("store_id"), "zone", "declared", "violations", F.col("rows").alias("n_rows"))
 
 
