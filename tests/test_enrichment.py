@@ -339,3 +339,13 @@ def test_cycles_are_the_fold(spark):
 
 def test_http_enricher_is_exported():
     assert issubclass(PurchaseGeoEnricher, HttpEnricher)
+
+
+def test_guard_keeps_rows_with_nulls(spark):
+    rows = [(None, None, 1, 5), (None, None, 2, 4), ("a", None, 3, 1), ("a", 1, 4, 2), ("a", 1, 5, None), ("b", 2, None, 7)]
+    df = spark.createDataFrame(rows, "k string, c int, o int, boomerang_update_count bigint")
+    got = {(r.k, r.c, r.o): r.accepted for r in guard.guarded(df, ["k"], ["o"], chunk="c").collect()}
+    assert got == {(None, None, 1): True, (None, None, 2): False, ("a", None, 3): True, ("a", 1, 4): True, ("a", 1, 5): False, ("b", 2, None): True}
+    assert {(r.k, r.c, r.o) for r in guard.accept(df, ["k"], ["o"], chunk="c").collect()} == {k for k, ok in got.items() if ok}
+    plan = guard.accept(df.withColumn("payload", F.lit("x")), ["k"], ["o"], chunk="c")._jdf.queryExecution().optimizedPlan().toString()
+    assert "payload" not in "".join(x for x in plan.splitlines() if "Window" in x)

@@ -1,12 +1,13 @@
 """The shared working folder, and small file operations in it.
 
 Everything that must outlive an executor is written below ``spark.checkpoint.dir``, which the cluster
-names; a folder of our own is used only where neither the session nor the context has one.
+names; a folder of our own is made only in local mode, as in tests, where neither the session nor the context has one.
 """
 
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -16,12 +17,14 @@ _scratch: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share."""
+    """The folder that driver and executors share; without one, an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = known.get() if known.isDefined() else None
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="weirflow-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
