@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import addresses, encode, leaks, lookalike, names
+from . import addresses, components, encode, leaks, lookalike, names
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,8 +19,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 def p2_entities(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record: its entity (a form's id) and the number of other forms that it is linked with."""
     records, members, links = names.entities(table(spark, folder, "client_documents"))
-    degree = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.count("*").alias("links")).select(F.col("a").alias("form"), "links")
-    rows = records.join(members.select("form", "label"), "form", "left").join(degree, "form", "left")
+    rows = records.join(members.select("form", "label"), "form", "left").join(components.degrees(links), "form", "left")
     return rows.select(F.col("key").alias("record_id"), F.coalesce("label", "form").alias("entity"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
@@ -29,9 +28,9 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_places(spark: SparkSession, folder: str) -> DataFrame:
-    """The parts of each address, one row per record."""
-    parts = addresses.places(table(spark, folder, "client_documents"))
-    return parts.select(F.col("key").alias("record_id"), "number", "way", F.concat_ws(" ", "kinds").alias("kinds"), F.concat_ws(" ", "names").alias("names"), "town_name", "country")
+    """One row per record with an address: its parts, its class of forms that are linked, and the number of other forms linked with its own."""
+    parts = addresses.classes(table(spark, folder, "client_documents"))
+    return parts.select(F.col("key").alias("record_id"), "number", "way", F.concat_ws(" ", "kinds").alias("kinds"), F.concat_ws(" ", "names").alias("names"), "town_name", "country", "place", "links")
 
 
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
