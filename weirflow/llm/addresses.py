@@ -88,7 +88,7 @@ def _words(text: Column) -> Column:
 
 
 #: A house number: a range or one number, with a letter or bis, ter; a letter that stands apart ends the line or is none of a street's abbreviations.
-_NUMBER = r"\b(\d+(?:-\d+)?)(?:-?([a-z])\b|\s?(bis|ter|quater)\b|\s-?([a-dfh-kmoqt-vxz])\b(?!\.)|\s-?([a-z])\s*(?=$|[,;]))?"
+_NUMBER = r"\b\d+(?:-\d+)?(?:-?[a-z]\b|\s?(?:bis|ter|quater)\b|\s-?[a-dfh-kmoqt-vxz]\b(?!\.)|\s-?[a-z]\s*(?=$|[,;]))?"
 _ORDINAL = r"\b(\d+)(st|nd|rd|th|eme)\b(?=\s+[\p{L}])"
 
 
@@ -107,21 +107,21 @@ def normal(df: DataFrame, key: str = "record_id", address: str = "address", city
         (rf"\b{_UNIT}\b\.?\s*(?:no\b\.?)?\s*\d+[a-z]?\b", " "),
         # Kinds that are written together with the name; allee without an e only where no other kind is named.
         (rf"([\p{{L}}]{{4,}}?)(?:[ -]?)(strasse|strase|str\b\.?|gasse|weg\b|wg\b\.?|platz|plz\b\.?|pl\.|allee|alle\b(?!.*\b(?:{other_kind})\b)|al\.|g\.)", "$1 $2 "),
-        (r"\b\d{5}\b(?=.*\b\d{1,4}[a-z]?\b)|(?<=\d.{0,400})\b\d{5}\b", " "),
         (r"\bla\b(?=\s+[\p{L}])", " "),
         # Numbers of streets, as in 5th Avenue, are words.
         (_ORDINAL, "o$1o"),
     ):
         a = F.regexp_replace(a, pattern, by)
+    # A postcode beside another number.
+    a = F.when(a.rlike(r"\b\d{5}\b") & a.rlike(r"\b\d{1,4}[a-z]?\b"), F.regexp_replace(a, r"\b\d{5}\b", " ")).otherwise(a)
     blank_city = F.trim(F.coalesce(F.col(city), F.lit(""))) == ""
     # Without a city, a street abbreviation before further words may as well be a saint's: then it's neither for certain.
     maybe_saint = blank_city & a.rlike(r"\p{L}{3,}\s+st\b\.?\s+\p{L}{3,}")
-    letters = F.concat(*(F.regexp_extract(a, _NUMBER, k) for k in (2, 3, 4, 5)))
-    words = F.regexp_replace(a, r"\b\d+(?:-\d+)?(?:-?[a-z]\b|\s?(?:bis|ter|quater)\b|\s-?[a-dfh-kmoqt-vxz]\b(?!\.)|\s-?[a-z]\s*(?=$|[,;]))?", " ")
+    words = F.regexp_replace(a, _NUMBER, " ")
     numbers = F.transform(F.regexp_extract_all(a, F.lit(r"\b(\d+(?:-\d+)?)"), F.lit(1)), lambda n: F.ltrim(n, F.lit("0")))
     df = df.where(F.trim(F.col(address)) != "").select(
         F.col(key).alias("key"),
-        F.concat(F.ltrim(F.regexp_extract(a, _NUMBER, 1), F.lit("0")), letters).alias("number"),
+        F.regexp_replace(F.ltrim(F.regexp_extract(a, _NUMBER, 0), F.lit("0")), r"\s+-?|-(?=[a-z])", "").alias("number"),
         F.array_sort(F.array_distinct(F.slice(numbers, 2, 2**31 - 1))).alias("more"),
         _words(F.when(maybe_saint, F.regexp_replace(words, r"\bst\b", "saint")).otherwise(words)).alias("w"),
         _words(plain(F.coalesce(F.col(city), F.lit("")))).alias("c"),

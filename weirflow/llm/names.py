@@ -9,8 +9,8 @@ form for every rule of ``alike``. True copies are compared once.
 
 Candidates are scored by aligning their tokens: the best assignment, where a token may stand for another as
 the same, a near spelling, a nickname, an initial or an abbreviation. A link needs aligned names and one
-supporting fact, and no contradiction (different identities in the e-mail addresses; given names that do not
-agree). Linked records form entities by connected components; a pair within an entity is kept unless
+supporting fact, and no contradiction (different identities in the e-mail addresses, unless phone and house are both the same; given
+names that do not agree). Linked records form entities by connected components; a pair within an entity is kept unless
 it contradicts itself.
 
 Defined cases: a record without a name, or without any supporting fact, links with none; nulls in any column
@@ -43,19 +43,27 @@ LEGAL = frozenset("inc incorporated llc ltd limited gmbh mbh kg kgaa co company
 ROLES = frozenset("info sales office contact contacto kontakt orders order billing admin support hello mail service accounts team hr jobs press".split())
 #: Particles that may be written together with the name.
 GLUED = frozenset("von van vander vonder de del dela di da du le la mc mac o".split())
-#: Nicknames by given name (fixed values).
+#: Common nicknames by given name, of several languages (fixed values); diminutives by ending need no entry.
 NICKNAMES = {
-    "abdulrahman": "abdul rahman", "aleksandr": "alex sasha sascha aleks", "anastasia": "nastya stacy ana", "avraham": "avi abe", "benjamin": "ben benny benji", "charles": "charlie chuck chas carl",
-    "christopher": "chris kit topher", "chukwuemeka": "emeka chuks", "concepcion": "concha conchita", "constantinos": "kostas dinos costas", "deborah": "deb debbie", "dmitri": "mitya dima", "dolores": "lola",
-    "domenica": "mimma nica", "edward": "ed ned ted eddie", "ekaterina": "katya kate", "elisabeth": "lisbeth lisa beth elsa sissi", "elizabeth": "liz beth eliza betty lizzie", "elodie": "elo", "evangelia": "litsa eva lia",
-    "francisco": "paco pancho kiko", "francois": "fanch", "frederick": "fred freddy", "frederique": "fred", "friedrich": "fritz", "giuseppe": "beppe pino peppe", "gregory": "greg", "guillermo": "memo guille",
-    "gunther": "gunni", "ignacio": "nacho", "jeanbaptiste": "jb", "jennifer": "jen jenny", "johannes": "hans hannes", "jose": "pepe", "jurgen": "jupp", "katherine": "kate kathy katie kat", "magdalena": "magda lena",
-    "margaret": "maggie peggy meg", "margarethe": "grete gretel gretchen", "mariateresa": "mayte maite", "michael": "mike mick micky", "mohammed": "mo hamudi", "nathaniel": "nate nat", "oluwaseun": "seun olu", "padraig": "paddy",
-    "patricia": "pat trish patty", "richard": "dick rick rich", "robert": "bob rob bobby", "samantha": "sam", "shoshana": "shosh", "siobhan": "shiv", "susanna": "sue susie", "theodore": "ted teddy theo",
-    "thomas": "tom tommy", "veronique": "vero", "victoria": "vicky tori", "vladislav": "vlad slava", "wolfgang": "wolf", "william": "bill will billy", "yehonatan": "yoni", "zbigniew": "zbyszek",
+    "abdullah": "abdul", "abdulrahman": "abdul rahman", "abigail": "abby gail", "agnieszka": "aga", "albert": "al bert bertie", "aleksandr": "alex sasha sascha aleks shura", "alexander": "alex alec sandy xander sasha lex", "alexandra": "alex sandra sasha lexi",
+    "alfred": "al alf fred fredo", "anastasia": "nastya stacy ana stasya", "andrew": "andy drew", "angela": "angie", "anna": "annie nan anya", "anthony": "tony ant", "antonio": "tono toni", "arthur": "art artie", "avraham": "avi abe", "barbara": "barb babs basia barbie",
+    "beatriz": "bea", "benjamin": "ben benny benji", "bernard": "bernie", "bronislaw": "bronek", "carmen": "menchu", "catherine": "cathy kate katie cat", "charles": "charlie chuck chas carl", "charlotte": "lotte lottie charlie", "christina": "chris tina christy", "christopher": "chris kit topher",
+    "chukwuemeka": "emeka chuks", "concepcion": "concha conchita", "constantinos": "kostas dinos costas", "consuelo": "chelo", "cynthia": "cindy", "daniel": "dan danny", "david": "dave davy", "deborah": "deb debbie", "dimitrios": "dimitris mitsos", "dmitri": "mitya dima",
+    "dolores": "lola loli", "domenica": "mimma nica", "donald": "don donnie", "dorothy": "dot dottie dolly", "edward": "ed ned ted eddie", "eduardo": "edu lalo", "ekaterina": "katya kate katia", "eleanor": "ellie nell nora", "elisabeth": "lisbeth lisa beth elsa sissi liesl", "elizabeth": "liz beth eliza betty lizzie bess libby lisa",
+    "elodie": "elo", "emmanuel": "manny manu", "enrique": "quique kike", "eugene": "gene", "evangelia": "litsa eva lia", "evgeny": "zhenya", "francisco": "paco pancho kiko curro fran", "francois": "fanch", "frances": "fran frannie", "franziska": "franzi", "frederick": "fred freddy", "frederique": "fred", "friedrich": "fritz",
+    "gabriel": "gabe gabi", "gerald": "gerry jerry", "gertrude": "trudy gert", "giovanni": "gianni nino", "giuseppe": "beppe pino peppe", "gregory": "greg", "guadalupe": "lupe", "guillermo": "memo guille", "gunther": "gunni", "harold": "harry hal", "heinrich": "heinz heiner", "helen": "nell lena",
+    "henry": "harry hank hal", "ignacio": "nacho", "isabella": "bella izzy isa", "ivan": "vanya", "jacob": "jake cobus", "jacqueline": "jackie", "james": "jim jimmy jamie", "jeanbaptiste": "jb", "jennifer": "jen jenny", "jessica": "jess jessie", "jesus": "chuy", "joachim": "achim jochen", "johannes": "hans hannes jan",
+    "john": "jack johnny", "jonathan": "jon jonny", "jose": "pepe", "joseph": "joe joey", "josephine": "josie jo", "jurgen": "jupp", "katherine": "kate kathy katie kat", "kenneth": "ken kenny", "konstantin": "kostya", "lawrence": "larry", "leonard": "leo len lenny", "luis": "lucho", "magdalena": "magda lena",
+    "manuel": "manolo manu", "margaret": "maggie peggy meg", "margarethe": "grete gretel gretchen", "maria": "masha mia", "mariateresa": "mayte maite maritere", "martha": "marty patty", "mary": "molly polly", "matthew": "matt", "michael": "mike mick micky misha", "mohammed": "mo hamudi", "mikhail": "misha",
+    "natalia": "natasha", "nathaniel": "nate nat", "nicholas": "nick nicky", "oluwaseun": "seun olu", "olivia": "liv", "padraig": "paddy", "pamela": "pam", "patricia": "pat trish patty", "patrick": "pat paddy", "peter": "pete", "philip": "phil", "rebecca": "becky bex", "richard": "dick rick rich", "robert": "bob rob bobby",
+    "roberto": "beto", "ronald": "ron ronnie", "rosario": "charo", "samantha": "sam", "samuel": "sam sammy", "sebastian": "seb basti", "sergei": "seryozha", "shoshana": "shosh", "siobhan": "shiv", "sofia": "sonia sonja", "stanislaw": "staszek stan", "stephen": "steve", "susan": "sue", "susanna": "sue susie", "tatiana": "tanya",
+    "theodore": "ted teddy theo", "theresa": "terry tess", "thomas": "tom tommy", "timothy": "tim", "ulrich": "uli", "veronique": "vero", "victoria": "vicky tori", "vincent": "vince vinnie", "virginia": "ginny", "vladimir": "vova volodya", "vladislav": "vlad slava", "walter": "walt wally", "wilhelm": "willi helm",
+    "wolfgang": "wolf", "william": "bill will billy liam", "yehonatan": "yoni", "yitzhak": "itzik", "zachary": "zach zack", "zbigniew": "zbyszek",
 }
-#: Given names of two words, written as one.
+#: Given names of two words that have nicknames of their own, written as one.
 DOUBLE = (("maria teresa", "mariateresa"), ("jean baptiste", "jeanbaptiste"))
+#: Endings of diminutives.
+ENDINGS = ("ie", "ey", "y", "i")
 #: What a match of two tokens is worth.
 SAME, NICK, NEAR, ABBREVIATED, INITIAL = 1.0, 0.95, 0.9, 0.8, 0.6
 STRONG = 0.85
@@ -63,28 +71,33 @@ STRONG = 0.85
 DENSE = 12
 #: Forms that share one fact and still all meet each other; in larger blocks name tokens decide.
 BLOCK = 64
+#: Digits that two spellings of a phone number have in common at their end.
+TAIL = 8
 #: Letters that a form of a word or of an e-mail address keeps.
 KEPT, KEPT_LOCAL = 6, 24
-_NAMES_OF: dict[str, set[str]] = {}
-for _full, _short in NICKNAMES.items():
-    for _s in (_full, *_short.split()):
-        _NAMES_OF.setdefault(_s, set()).add(_full)
-
-
 def plain(text: str) -> str:
     """Lower case, without accents, umlauts as the plain vowel."""
     text = "".join(c for c in unicodedata.normalize("NFKD", text.lower().replace("ß", "ss").replace("ł", "l").replace("ø", "o")) if not unicodedata.combining(c))
     return re.sub("([aou])e", r"\1", text)
 
 
+#: Given names by nickname (and by themselves), and the nicknames by given name; both as ``plain`` writes them.
+_NAMES_OF: dict[str, set[str]] = {}
+_SHORT: dict[str, list[str]] = {}
+for _full, _short in NICKNAMES.items():
+    _SHORT[plain(_full)] = plain(_short).split()
+    for _s in (plain(_full), *plain(_short).split()):
+        _NAMES_OF.setdefault(_s, set()).add(plain(_full))
+
+
 def tokens(*fields: str | None) -> list[str]:
     """Name tokens of all fields, sorted; if nothing but titles or legal forms is there, those."""
     text = plain(" ".join(f for f in fields if f))
     text = re.sub(r"\b(?:\w\.){2,}\w?", lambda m: m[0].replace(".", ""), text)
     text = re.sub(r"(?<=\b\w)['’`´](?=\w)", "", text)
     text = re.sub(r"[^\w]+|_", " ", text)
-    for apart, joined in DOUBLE:
-        text = text.replace(apart, joined)
+    for apart, together in DOUBLE:
+        text = text.replace(apart, together)
     found = text.split()
     kept = [t for t in found if t not in TITLES and t not in PARTICLES and t not in LEGAL]
     names = set(kept or found)
@@ -103,8 +116,15 @@ def email_identity(email: str | None) -> tuple[str, str]:
 
 
 def phone_digits(phone: str | None) -> str:
+    """All digits without leading zeros; fewer than 6 are no phone number."""
     digits = re.sub(r"\D", "", phone or "").lstrip("0")
-    return digits[-11:] if len(digits) >= 6 else ""
+    return digits if len(digits) >= 6 else ""
+
+
+def _same_phone(a: dict, b: dict) -> bool:
+    """Equal numbers, or one that is the other without its country's or area's digits."""
+    short, long = sorted((a["phone"], b["phone"]), key=len)
+    return bool(short) and (short == long or len(short) >= TAIL and long.endswith(short))
 
 
 @lru_cache(1 << 17)
@@ -135,16 +155,18 @@ def alike(a: str, b: str) -> float:
     if len(a) > len(b):
         a, b = b, a
     if len(a) == 1:
-        return INITIAL if b[0] == a or any(s[0] == a for n in _NAMES_OF.get(b, ()) for s in (n, *NICKNAMES[n].split())) else 0.0
+        return INITIAL if b[0] == a or any(s[0] == a for n in _NAMES_OF.get(b, ()) for s in (n, *_SHORT[n])) else 0.0
     if _NAMES_OF.get(a, set()) & _NAMES_OF.get(b, set()):
         return NICK
-    if distance(a, b) <= most_edits(len(a)) and not (a in NICKNAMES and b in NICKNAMES):
+    if distance(a, b) <= most_edits(len(a)) and not (a in _SHORT and b in _SHORT):
         return NEAR
     # A misspelt nickname or given name.
-    if _near_names(a) & _near_names(b) and not (a in NICKNAMES and b in NICKNAMES):
+    if _near_names(a) & _near_names(b) and not (a in _SHORT and b in _SHORT):
         return NEAR
-    if len(a) >= 6 and b.endswith(a) and b[: -len(a)] in GLUED:
+    if any(min(len(x), len(y)) >= 6 and distance(x, y) <= 1 for x in unglued(a) for y in unglued(b)):
         return NEAR
+    if _diminutive(a, b) or _diminutive(b, a):
+        return ABBREVIATED
     rest = iter(b)
     if a[0] == b[0] and 2 <= len(a) < len(b) and all(c in rest for c in a) and (b.startswith(a) or len(b) >= 6 and len(a) <= 5):
         return ABBREVIATED
@@ -153,8 +175,30 @@ def alike(a: str, b: str) -> float:
 
 @lru_cache(1 << 14)
 def _near_names(token: str) -> frozenset[str]:
-    """The given names that the token may stand for, as it is or with one error, two in a long name."""
-    return frozenset(n for s, names in _NAMES_OF.items() if s == token or min(len(s), len(token)) >= 5 and abs(len(s) - len(token)) <= 2 and distance(s, token) <= (2 if min(len(s), len(token)) >= 9 else 1) for n in names)
+    """The given names that the token may stand for, as it is or with one error (behind the first letter of a short one), two in a long name."""
+
+    def near(s: str) -> bool:
+        n = min(len(s), len(token))
+        return s == token or abs(len(s) - len(token)) <= 2 and (n >= 5 or n == 4 and s[0] == token[0]) and distance(s, token) <= (2 if n >= 9 else 1)
+
+    return frozenset(n for s, names in _NAMES_OF.items() if near(s) for n in names)
+
+
+@lru_cache(1 << 14)
+def unglued(token: str) -> tuple[str, ...]:
+    """A token, and without particles that it may be written together with."""
+    return (token, *(token[len(g) :] for g in GLUED if token.startswith(g) and len(token) - len(g) >= 6))
+
+
+def _diminutive(short: str, full: str) -> bool:
+    """Whether a name is another's beginning with an ending of diminutives, as Debbie is of Deborah."""
+    for ending in ENDINGS:
+        if short.endswith(ending):
+            stem = short[: -len(ending)]
+            if len(stem) >= 4 and stem[-1] == stem[-2]:
+                stem = stem[:-1]
+            return len(stem) >= 3 and len(full) > len(stem) and full.startswith(stem)
+    return False
 
 
 def align(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[float, int, int, bool]:
@@ -252,8 +296,38 @@ def names_agree(a: tuple[str, ...], b: tuple[str, ...]) -> int:
     if strong and alone == 0:
         return 2 if n >= 2 else 1
     # Middle initials may differ.
-    _, alone, n, strong = align(tuple(t for t in a if len(t) > 1), tuple(t for t in b if len(t) > 1))
-    return 1 if strong and alone == 0 and n >= 2 else 0
+    long_a, long_b = long_tokens(a), long_tokens(b)
+    _, alone, n, strong = align(long_a, long_b)
+    if strong and alone == 0 and n >= 2:
+        return 1
+    return 1 if any(joined(x, y) for x, y in ((long_a, long_b), (long_b, long_a))) else 0
+
+
+def long_tokens(name: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(t for t in name if len(t) > 1)
+
+
+def joined(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
+    """Whether names agree once two tokens of the first, that match none, are written together as one of the second; another token must match strongly."""
+    if len(a) < 3 or len(a) <= len(b) - 1:
+        return False
+    rest_a, rest_b = ([x for x in s if all(alike(x, y) < STRONG for y in t)] for s, t in ((a, b), (b, a)))
+    for x in rest_a:
+        for y in rest_a:
+            if x != y and any(min(len(x), len(y)) >= 3 and abs(len(x) + len(y) - len(w)) <= 2 and distance(x + y, w) <= 1 for w in rest_b):
+                left = tuple(t for t in a if t not in (x, y))
+                others = tuple(w for w in b if distance(x + y, w) > 1)
+                _, alone, n, strong = align(left, others)
+                if strong and alone == 0 and n >= 1:
+                    return True
+    return False
+
+
+def surname_only(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
+    """Whether one name is nothing but one long token, initials aside, and that is the other's."""
+    a, b = long_tokens(a), long_tokens(b)
+    _, alone, n, strong = align(a, b)
+    return strong and alone == 0 and n == 1 and min(len(a), len(b)) == 1
 
 
 def _same_email(a: dict, b: dict) -> bool | None:
@@ -269,21 +343,33 @@ def _same_address(a: dict, b: dict) -> bool:
     return bool(a["house"]) and a["house"] == b["house"] and bool(a["street"]) and bool(b["street"]) and any(distance(x, y) <= 2 for x in a["street"].split() for y in b["street"].split() if len(x) > 4 and len(y) > 4)
 
 
+def _tokens(row: dict) -> tuple[str, ...]:
+    return tuple(row["tokens"].split())
+
+
 def linked(a: dict, b: dict) -> bool:
-    """Whether two records are one entity by what they say themselves."""
-    agree = names_agree(tuple(a["tokens"].split()), tuple(b["tokens"].split()))
+    """Whether two records are one entity by what they say themselves.
+
+    Different identities in the e-mail addresses are outweighed only by the whole name with phone and house together; a surname
+    with another initial only by e-mail and phone together.
+    """
+    agree, email, phone = names_agree(_tokens(a), _tokens(b)), _same_email(a, b), _same_phone(a, b)
     if not agree:
-        return False
-    email = _same_email(a, b)
-    phone, place = bool(a["phone"]) and a["phone"] == b["phone"], _same_address(a, b)
+        return bool(email) and phone and surname_only(_tokens(a), _tokens(b))
+    if email:
+        return True
+    place = _same_address(a, b)
     if email is False:
-        return False
-    return bool(email) or (phone or place) and (agree == 2 or phone and place)
+        return agree == 2 and phone and place
+    return (phone or place) and (agree == 2 or phone and place)
 
 
 def compatible(a: dict, b: dict) -> bool:
     """Whether nothing in two records of one component speaks against them."""
-    return _same_email(a, b) is not False and names_agree(tuple(a["tokens"].split()), tuple(b["tokens"].split())) > 0
+    agree, email = names_agree(_tokens(a), _tokens(b)), _same_email(a, b)
+    if email is False:
+        return agree == 2 and _same_phone(a, b) and _same_address(a, b)
+    return agree > 0 or bool(email) and surname_only(_tokens(a), _tokens(b))
 
 
 FIELDS = ("tokens", "number", "local", "phone", "house", "street")
@@ -305,13 +391,14 @@ def _hash(text: str) -> int:
 
 
 def fact_keys(row: dict) -> list[int]:
-    """Hashes of the supporting facts; two records that have one in common, as ``linked`` sees it, share one."""
-    facts = {f"{k}{row[k]}" for k in ("number", "phone") if row[k]}
+    """Hashes of the supporting facts; two records that have one in common, as ``linked`` sees it, share one. Those of phones are odd, all others even."""
+    phone = [_hash(f"phone{row['phone'][-TAIL:]}") | 1] if row["phone"] else []
+    facts = {f"number{row['number']}"} if row["number"] else set()
     if row["local"] and not row["number"]:
         facts |= {f"local{v}" for v in within(row["local"], 1, KEPT_LOCAL)}
     if row["house"]:
         facts |= {f"house{row['house']} {v}" for w in row["street"].split() if len(w) > 4 for v in within(w, 2)}
-    return [_hash(f) for f in facts]
+    return [*phone, *(_hash(f) & ~1 for f in facts)]
 
 
 @lru_cache(1 << 14)
@@ -321,7 +408,7 @@ def token_keys(token: str) -> frozenset[str]:
     if n < 4:
         return frozenset()
     keys = {f"={token}", *(f"^{name}" for name in _near_names(token))}
-    keys |= {f"={token[len(g) :]}" for g in GLUED if token.startswith(g) and n - len(g) >= 6}
+    keys |= {f"g{v}" for rest in unglued(token) if len(rest) >= 6 for v in within(rest, 1)}
     for edits in {most_edits(m) for m in range(4, n + 1) if n - m <= most_edits(m)}:
         keys |= {f"{edits}{v}" for v in within(token, edits)}
     return frozenset(keys)
@@ -331,12 +418,12 @@ def _refined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each fact of a form with each form of each name token."""
     for batch in batches:
         for form, fact, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            keys = [_hash(f"{fact}|{k}") for k in sorted(set().union(*map(token_keys, name.split())))]
+            keys = [_hash(f"{fact}|{k}") & ~1 | fact & 1 for k in sorted(set().union(*map(token_keys, name.split())))]
             yield pa.RecordBatch.from_arrays([pa.array([form] * len(keys), pa.int64()), pa.array(keys, pa.int64())], ["form", "k"])
 
 
 def _met(forms: DataFrame) -> DataFrame:
-    """Pairs of forms that share a fact, in large blocks also a form of a token, and do not have two e-mail identities."""
+    """Pairs of forms that share a fact, in large blocks also a form of a token; with two e-mail identities the phone must be the same."""
     keys = forms.select("form", "number", F.explode("keys").alias("k"))
     sizes = keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
     small = keys.join(sizes.where(F.col("n") <= BLOCK), "k").select("form", "number", "k")
@@ -345,7 +432,7 @@ def _met(forms: DataFrame) -> DataFrame:
 
     def pairs(rows: DataFrame) -> DataFrame:
         side = lambda s: rows.select(F.col("form").alias(s), F.col("number").alias(f"number_{s}"), "k")
-        return side("a").join(side("b"), "k").where("a < b and (number_a = '' or number_b = '' or number_a = number_b)").select("a", "b")
+        return side("a").join(side("b"), "k").where("a < b and (number_a = '' or number_b = '' or number_a = number_b or k & 1 = 1)").select("a", "b")
 
     return pairs(small).unionByName(pairs(refined)).distinct()
 
@@ -385,9 +472,10 @@ def _scored(accept):
 
 
 def _compare(pairs: DataFrame, forms: DataFrame, accept) -> DataFrame:
-    """The pairs of forms that ``accept`` takes; those of two e-mail identities, which it never takes, are dropped before."""
+    """The pairs of forms that ``accept`` takes; those of two e-mail identities, which it takes only if phone and house are equal, are dropped before."""
     side = lambda s: forms.select(F.col("form").alias(s), *(F.col(f).alias(f"{f}_{s}") for f in FIELDS))
-    rows = pairs.join(side("a"), "a").join(side("b"), "b").where("number_a = '' or number_b = '' or number_a = number_b")
+    rows = pairs.join(side("a"), "a").join(side("b"), "b")
+    rows = rows.where(f"number_a = '' or number_b = '' or number_a = number_b or house_a <> '' and house_a = house_b and phone_a <> '' and right(phone_a, {TAIL}) = right(phone_b, {TAIL})")
     return rows.mapInArrow(_scored(accept), "a bigint, b bigint")
 
 
