@@ -62,7 +62,7 @@ def test_realtime_stream(spark, tmp_path):
 
 
 def test_timeout_emits_once_and_no_ghosts(spark, tmp_path):
-    rows = [("d", "a", 1, False, True, "{}", '{"k": 1}', None), ("e", "a", 1, True, True, "{}", None, '{"b": {"old": 1}}'), ("f", "a", 1, False, True, "{}", '{"k": 2}', None), ("f", "b", 2, False, False, "{}", None, None)]
+    rows = [("d", "a", 1, False, True, "{}", '{"k": 1}', None, 0), ("e", "a", 1, True, True, "{}", None, '{"b": {"old": 1}}', 0), ("f", "a", 1, False, True, "{}", '{"k": 2}', None, 0), ("f", "b", 2, False, False, "{}", None, None, 0)]
     spark.createDataFrame(rows, processors.RESULT).coalesce(1).write.json(str(tmp_path / "in"))
     stream = spark.readStream.schema(processors.RESULT).json(str(tmp_path / "in"))
     joined = processors.join(stream, ["a", "b"], ["a"], timeout_ms=1500)
@@ -164,3 +164,26 @@ def test_upsert_closes_the_loop(spark):
     new = spark.createDataFrame([("b", "2"), ("c", "2")], "document_id string, source string")
     assert {tuple(r) for r in sinks.upsert(old, new).collect()} == {("a", "1"), ("b", "2"), ("c", "2")}
     assert sinks.as_json(spark.createDataFrame([("d",)], "document_id string").select("document_id", F.expr("map('a', to_variant_object(named_struct('x', 1)))").alias("original_payload"), F.expr("cast(null as map<string, map<string, variant>>)").alias("enrichments"), F.lit(1).alias("timestamp"))).count() == 1
+
+
+def test_one_source_and_one_guard_for_any_number_of_enrichers(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "staged").mkdir()
+    plans = []
+    for n in (1, 3):
+        c = cfg()
+        c.enrichers = [config.EnricherConfig(name=f"e{i}", consumer_group="g", reflow_topic="r", class_name="tests.test_streaming.Echo", properties={"me": "x"}, async_timeout_ms=10) for i in range(n)]
+        plan = pipeline.stream_documents(spark, c, str(tmp_path), str(tmp_path / "staged"))._jdf.queryExecution().analyzed().toString()
+        plans.append((plan.count("TransformWithState"), plan.count("FileSource") or plan.count("StreamingRelation"), plan.count("MapInArrow")))
+    assert plans[0] == plans[1] and plans[0][0] >= 2 and plans[0][2] == 1
+
+
+def test_versions_are_joined_by_themselves_and_their_count_is_emitted(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    doc = lambda n, v: json.dumps({"documentId": "x", "payload": {"v": v}, "boomerangUpdateCount": n, "timestamp": 1})
+    (tmp_path / "raw" / "1.json").write_text("\n".join([doc(1, 10), doc(2, 20)]))
+    c = cfg()
+    c.joiner.join_key, c.emit_update_count = "document_version", True
+    query = sinks.write(pipeline.stream_documents(spark, c, raw_folder=str(tmp_path)), str(tmp_path / "checkpoint"), folder=str(tmp_path / "out"))
+    got = until(query, lambda: read(spark, str(tmp_path / "out")), 2)
+    assert sorted((d["boomerangUpdateCount"], d["v"], d["enrichments"]["b"]["b"]) for d in got) == [(1, 10, 10), (2, 20, 20)]

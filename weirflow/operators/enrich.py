@@ -1,7 +1,7 @@
 """Running enrichers: lookups as joins, services in Arrow batches with concurrency, limits, timeouts and retries.
 
-``lookup`` joins a table of answers; a miss is a failure. ``call_service`` runs an enricher within the
-partitions: up to ``capacity`` documents in flight, in input order, singly or in bulks, within a rate limit that is
+``lookup`` joins a table of answers; a miss is a failure. ``call_services`` runs enrichers within the
+partitions, each for the documents that are meant for it, so any number of them reads its input once: up to ``capacity`` documents in flight, in input order, singly or in bulks, within a rate limit that is
 the partitions' share of a global one. Every error becomes a failure row. Reflow documents that failed are read
 again and tried again: within the partition where a store's client is given (``retried``), else by ``call_with_retry``.
 """
@@ -156,43 +156,75 @@ def _update_count(payload: dict) -> int:
     return int(n) if isinstance(n, (int, float)) and not isinstance(n, bool) else 0
 
 
-def call_service(documents: DataFrame, service: Service, partitions: int | None = None, make: Callable[[], Enricher] | None = None, refetch: Refetch | None = None) -> DataFrame:
-    """Adds enricher_name, enriched_fields (JSON), success and error_message to documents with document_id and payload_json.
+class _Runner:
+    """One enricher within a partition, made when it is first needed."""
+
+    def __init__(self, service: Service, partitions: int, make: Callable[[], Enricher] | None, refetch: Refetch | None):
+        self.service, self.make, self.refetch = service, make, refetch if service.max_retries > 0 else None
+        self.limiter, self.enricher = Limiter(service.rate_per_second / partitions), None
+
+    def __call__(self, documents: list[tuple[str, dict]], again: list[bool]) -> tuple[list[tuple[str, dict]], list[Result]]:
+        """Documents as they were read last, and their results."""
+        self.enricher = self.enricher or (self.make() if self.make else create(self.service.class_name, self.service.properties))
+        got = run_all(self.enricher, self.limiter, documents, self.service.bulk_size, self.service.capacity, self.service.timeout_ms)
+        return retried(self.enricher, self.limiter, documents, got, again, self.service, self.refetch) if self.refetch else (documents, got)
+
+    def close(self) -> None:
+        if self.enricher:
+            self.enricher.close()
+
 
-    The rate limit is divided by the number of partitions, which therefore is set here if there is a limit. With ``refetch``,
-    rows whose ``reflow`` is true are tried again when they fail; payload_json and boomerang_update_count are those of the document read last.
+def call_services(documents: DataFrame, services: dict[str, Service], partitions: int | None = None, makes: dict[str, Callable[[], Enricher]] | None = None, refetch: Refetch | None = None) -> DataFrame:
+    """Adds enriched_fields (JSON), success and error_message to documents with document_id, enricher_name and payload_json.
+
+    Each document goes to the service of its enricher_name; one without a service is an error. Rate limits are divided by the number of
+    partitions, which therefore is set here if there is a limit: to ``partitions``, else to the session's shuffle partitions. With
+    ``refetch``, rows whose ``reflow`` is true are tried again when they fail; payload_json and boomerang_update_count are those
+    of the document read last.
     """
     columns = documents.columns
-    if partitions or service.rate_per_second:
-        partitions = partitions or max(1, min(8, int(service.rate_per_second)))
+    if partitions or any(s.rate_per_second for s in services.values()):
+        partitions = partitions or int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         documents = documents.repartition(partitions)
-    rate = service.rate_per_second / (partitions or 1)
-    at, payload_at = columns.index("document_id"), columns.index("payload_json")
+    parts, makes = partitions or 1, makes or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enricher, limiter = None, Limiter(rate)
+        runners = {name: _Runner(s, parts, makes.get(name), refetch) for name, s in services.items()}
         try:
             for batch in batches:
-                enricher = enricher or (make() if make else create(service.class_name, service.properties))
-                rows = [(d, json.loads(p) if p else {}) for d, p in zip(batch.column(at).to_pylist(), batch.column(payload_at).to_pylist(), strict=True)]
-                got = run_all(enricher, limiter, rows, service.bulk_size, service.capacity, service.timeout_ms)
-                kept = batch.columns
-                if refetch and "reflow" in columns and service.max_retries > 0:
-                    again = [bool(x) for x in batch.column(columns.index("reflow")).to_pylist()]
-                    fresh, got = retried(enricher, limiter, rows, got, again, service, refetch)
-                    new = {i: p for i, ((_, p), (_, old)) in enumerate(zip(fresh, rows, strict=True)) if p is not old}
-                    for name, value in (("payload_json", json.dumps), ("boomerang_update_count", _update_count)):
-                        if new and name in columns:
-                            at_, old = columns.index(name), batch.column(name).to_pylist()
-                            kept[at_] = pa.array([value(new[i]) if i in new else x for i, x in enumerate(old)], batch.schema.field(at_).type)
-                added = [pa.array([service.name] * len(got), pa.string()), pa.array([None if f is None else json.dumps(f) for f, _, _ in got], pa.string()), pa.array([ok for _, ok, _ in got], pa.bool_()), pa.array([e for _, _, e in got], pa.string())]
-                yield pa.RecordBatch.from_arrays([*kept, *added], [*columns, "enricher_name", "enriched_fields", "success", "error_message"])
+                column = lambda name, batch=batch: batch.column(columns.index(name)).to_pylist()
+                rows = [(d, json.loads(p) if p else {}) for d, p in zip(column("document_id"), column("payload_json"), strict=True)]
+                again = [bool(x) for x in column("reflow")] if "reflow" in columns else [False] * len(rows)
+                by_name: dict[str, list[int]] = {}
+                for i, name in enumerate(column("enricher_name")):
+                    by_name.setdefault(name, []).append(i)
+                got: list[Result] = [(None, False, None)] * len(rows)
+                fresh: dict[int, dict] = {}
+                for name, which in by_name.items():
+                    read, results = runners[name]([rows[i] for i in which], [again[i] for i in which])
+                    for i, (_, payload), result in zip(which, read, results, strict=True):
+                        got[i] = result
+                        if payload is not rows[i][1]:
+                            fresh[i] = payload
+                kept = list(batch.columns)
+                for name, value in (("payload_json", json.dumps), ("boomerang_update_count", _update_count)):
+                    if fresh and name in columns:
+                        new = [value(fresh[i]) if i in fresh else x for i, x in enumerate(column(name))]
+                        kept[columns.index(name)] = pa.array(new, batch.schema.field(columns.index(name)).type)
+                added = [pa.array([None if f is None else json.dumps(f) for f, _, _ in got], pa.string()), pa.array([ok for _, ok, _ in got], pa.bool_()), pa.array([e for _, _, e in got], pa.string())]
+                yield pa.RecordBatch.from_arrays([*kept, *added], [*columns, "enriched_fields", "success", "error_message"])
         finally:
-            if enricher:
-                enricher.close()
+            for runner in runners.values():
+                runner.close()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return documents.mapInArrow(run, f"{schema}, enricher_name string, enriched_fields string, success boolean, error_message string")
+    return documents.mapInArrow(run, f"{schema}, enriched_fields string, success boolean, error_message string")
+
+
+def call_service(documents: DataFrame, service: Service, partitions: int | None = None, make: Callable[[], Enricher] | None = None, refetch: Refetch | None = None) -> DataFrame:
+    """The same for one service that all documents are meant for."""
+    rows = documents.withColumn("enricher_name", F.lit(service.name))
+    return call_services(rows, {service.name: service}, partitions, {service.name: make} if make else None, refetch)
 
 
 def call_with_retry(documents: DataFrame, service: Service, refetch: Callable[[DataFrame], DataFrame], keep: Callable[[DataFrame, str], DataFrame], sleep: Callable[[float], None] = time.sleep, **options) -> DataFrame:

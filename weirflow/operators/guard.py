@@ -45,5 +45,5 @@ def accept(df: DataFrame, keys: list[str], order: list[str], count: str = "boome
     """The rows that pass."""
     asked = list(dict.fromkeys([*keys, *order, count, *([chunk] if chunk else [])]))
     stale = guarded(df.select(*asked), keys, order, count, chunk).where("not accepted")
-    whole = list(dict.fromkeys([*([chunk] if chunk else []), *order]))
+    whole = list(dict.fromkeys([*keys, *([chunk] if chunk else []), *order]))
     return df.join(_renamed(stale, whole), _same(whole), "left_anti")

@@ -22,6 +22,12 @@ def slice_count(count: Column, threshold: int = 10_000, max_slices: int = 10) ->
     return F.when(count == 0, 0).when(count <= threshold, 1).otherwise(n).cast("int")
 
 
+def request_id(*columns: str) -> Column:
+    """A request's id in the form of a UUID, from what tells the request apart, so that a replay gives the same one."""
+    digest = F.md5(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)))
+    return F.concat_ws("-", *(F.substring(digest, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+
+
 def explode_slices(requests: DataFrame, count: str = "n_documents", threshold: int = 10_000, max_slices: int = 10) -> DataFrame:
     """One row per slice: slice_id and max_slices; requests without documents give none."""
     n = slice_count(F.col(count), threshold, max_slices)

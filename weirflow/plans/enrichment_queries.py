@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from ..config import EnricherConfig, PipelineConfig
 from ..enrichers.base import Enricher, create
+from ..enrichers.geo import PurchaseGeoEnricher
 from ..functions import documents as D
 from ..functions import mappers as M
 from ..operators import enrich, guard, joiner, reflow
+from ..sources import messages
 from ..sources.docstore import DocStore, slice_of
 from ..sources.query import compile_query, geo_reflow_query
 from . import pipeline
@@ -133,7 +135,8 @@ def reflow_count_slices(spark: SparkSession, folder: str) -> DataFrame:
     region = F.try_variant_get(F.try_parse_json("existing_enrichments"), f'$["{GEO}"].geo_region', "string")
     documents = _parsed(spark, folder).where("p is not null").select(region.alias("region"), M.text_of(F.col("p"), "storeId").alias("store_id"))
     plan = reflow.plan_slices(table(spark, folder, "reflow_messages"), documents, threshold=1000, max_slices=10)
-    return plan.select("message_id", "n_documents", "slice_id", "max_slices")
+    request = reflow.request_id("message_id", "enricher_name", "query_criteria")
+    return plan.select("message_id", "n_documents", "slice_id", "max_slices", M.slice_key(request, F.col("slice_id")).alias("slice_key"), M.is_sliced(F.col("max_slices")).alias("is_sliced"))
 
 
 def slice_partition(spark: SparkSession, folder: str) -> DataFrame:
@@ -230,8 +233,9 @@ def _piped(spark: SparkSession, folder: str, mode: str) -> DataFrame:
 
 
 def _flat(rows: DataFrame) -> DataFrame:
+    """Whether a document is complete and from what, the store of its first payload, and its enrichments: how many, and two fields."""
     new = lambda name, field: F.try_variant_get(F.try_element_at(F.try_element_at("enrichments", F.lit(name)), F.lit(field)), "$.v", "string")
-    return rows.select("document_id", "reflow", "is_partial", F.array_join(F.sort_array("reported"), ",").alias("reported"), new(GEO, "geo_region").alias("geo_region"), new(CURRENCY, "n_purchases").alias("n_purchases"))
+    return rows.select("document_id", "reflow", "is_partial", F.array_join(F.sort_array("reported"), ",").alias("reported"), M.text_of(F.col("original_payload"), "storeId").alias("first_store"), F.coalesce(F.size("enrichments"), F.lit(0)).alias("n_enrichments"), new(GEO, "geo_region").alias("geo_region"), new(CURRENCY, "n_purchases").alias("n_purchases"))
 
 
 def realtime_pipeline(spark: SparkSession, folder: str) -> DataFrame:
@@ -246,6 +250,15 @@ def join_partial(spark: SparkSession, folder: str) -> DataFrame:
     return _flat(_piped(spark, folder, "REALTIME")).where("is_partial").select("document_id", "reported")
 
 
+def join_complete(spark: SparkSession, folder: str) -> DataFrame:
+    return _flat(_piped(spark, folder, "REALTIME")).where("not is_partial").select("document_id", "reported", "first_store")
+
+
+def join_reflow_expected(spark: SparkSession, folder: str) -> DataFrame:
+    """The enrichers that a document waits for, by the path of its first result."""
+    return _piped(spark, folder, "REALTIME").select("document_id", "reflow", F.array_join(F.sort_array("expected"), ",").alias("expected"), "is_partial")
+
+
 def union_results(spark: SparkSession, folder: str) -> DataFrame:
     cfg, rows = CONFIG, _documents(spark, folder)
     results = pipeline.batch_results(cfg, rows.where("not reflow"), rows.where("reflow"), _call(spark, folder), ORDER, "batch_id")
@@ -271,14 +284,76 @@ def merged_document(spark: SparkSession, folder: str) -> DataFrame:
 def emission_cycles(spark: SparkSession, folder: str) -> DataFrame:
     """Emissions over time: results arrive when their message was ingested, those of the currency enricher a minute later for every other batch."""
     rows = _documents(spark, folder)
-    geo = rows.select("document_id", F.col("at").alias("arrival_ms"), "seq", F.lit(GEO).alias("enricher_name"), "reflow")
-    late = rows.where("currency is not null").select("document_id", (F.col("at") + F.when(F.col("batch_id") % 2 == 0, 60_000).otherwise(1000)).alias("arrival_ms"), "seq", F.lit(CURRENCY).alias("enricher_name"), "reflow")
+    geo = rows.select("document_id", F.col("at").alias("arrival_ms"), F.struct("seq", F.lit(0).alias("k")).alias("seq"), F.lit(GEO).alias("enricher_name"), "reflow")
+    late = rows.where("currency is not null").select("document_id", (F.col("at") + F.when(F.col("batch_id") % 2 == 0, 60_000).otherwise(1000)).alias("arrival_ms"), F.struct("seq", F.lit(1).alias("k")).alias("seq"), F.lit(CURRENCY).alias("enricher_name"), "reflow")
     return joiner.cycles(geo.unionByName(late), CONFIG.names(), CONFIG.reflow_names())
 
 
+def late_second_cycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that a late result emitted again: their cycles, and how many of them were complete."""
+    return emission_cycles(spark, folder).groupBy("document_id").agg(F.count("*").alias("n_cycles"), F.count_if(~F.col("is_partial")).alias("n_complete")).where("n_cycles > 1")
+
+
+def update_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The update count of stored documents that have it as a whole number, a fraction, a string, a flag, null, or not at all."""
+    n, k = F.col("o_orderkey"), F.col("o_orderkey") % 6
+    value = F.when(k == 0, n.cast("string")).when(k == 1, F.concat(n.cast("string"), F.lit(".9"))).when(k == 2, F.concat(F.lit('"'), n.cast("string"), F.lit('"'))).when(k == 3, "true").when(k == 4, "null")
+    source = F.when(value.isNull(), "{}").otherwise(F.concat(F.lit('{"boomerangUpdateCount": '), value, F.lit("}")))
+    rows = table(spark, folder, "orders").select(n.cast("string").alias("document_id"), source.alias("source"))
+    store = DocStore(rows)
+    return store.by_ids(rows.select("document_id")).select("document_id", "boomerang_update_count")
+
+
+def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw topics as JSON messages, read again: the record of each, and whether it is malformed."""
+    text = lambda c: F.coalesce(F.to_json(F.struct(F.col(c).alias("v"))), F.lit("{}"))
+    field = lambda name, c: F.concat(F.lit(f'"{name}": '), F.when(F.col(c).isNull(), "null").otherwise(F.regexp_extract(text(c), r'^\{"v":(?s)(.*)\}$', 1)))
+    value = F.concat(F.lit("{"), field("documentId", "document_id"), F.lit(", "), field("boomerangUpdateCount", "boomerang_update_count"), F.lit(", "), field("reflow", "reflow"), F.lit(', "payload": '), F.coalesce("payload", F.lit("null")), F.lit("}"))
+    rows = messages.parse_raw(_raw(spark, folder).select(*ORDER, value.alias("value"), F.col("kafka_topic").alias("topic"), F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset")))
+    return rows.select(*ORDER, "document_id", F.col("boomerang_update_count").alias("n_update"), "reflow", F.size("payload").alias("n_fields"), "malformed")
+
+
+class StubGeo(PurchaseGeoEnricher):
+    """The geo service without a network: it knows a store by the digits of its id, and is down for every seventh."""
+
+    def _post(self, url: str, body, headers: dict[str, str]):
+        if isinstance(body, list):
+            return [self._post(url, x, headers) for x in body]
+        n = int("".join(c for c in body["storeId"] if c.isdigit()) or 0)
+        if n % 7 == 0 and headers:
+            raise RuntimeError("service answered 503")
+        return {"latitude": n, "longitude": None if n % 5 == 0 else -n, "region": body["country"], "timezone": body.get("referenceDate")}
+
+
+def _stub(bulk: int) -> enrich.Service:
+    return enrich.Service(GEO, f"{__name__}.StubGeo", {"apiUrl": "stub"}, bulk_size=bulk)
+
+
+def http_enrich_stub(spark: SparkSession, folder: str) -> DataFrame:
+    """The geo enricher's requests and answers through the runtime, singly and in bulks of 20; a bulk of the stub never fails."""
+    payload = F.to_json(F.struct(F.col("store_id").alias("storeId"), F.col("country").alias("currency"), F.col("city").alias("purchaseDate")))
+    rows = table(spark, folder, "stores").select(F.col("store_id").alias("document_id"), payload.alias("payload_json"))
+    both = enrich.call_service(rows, _stub(0)).withColumn("mode", F.lit("single")).unionByName(enrich.call_service(rows, _stub(20)).withColumn("mode", F.lit("bulk")))
+    field = lambda n: F.get_json_object("enriched_fields", f"$.{n}").alias(n)
+    return both.select("document_id", "mode", "enricher_name", "success", "error_message", field("geo_region"), field("geo_location"), field("geo_timezone"))
+
+
+def result_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases as results: a success with the store's region, or a failure that keeps what was known before."""
+    bought = table(spark, folder, "purchase_documents").join(table(spark, folder, "stores").select("store_id", "geo_region", F.lit(True).alias("hit")), "store_id", "left")
+    text = lambda c: F.expr(f"map('v', to_variant_object(named_struct('v', {c})))")
+    old = F.expr("cast(null as map<string, map<string, variant>>)")
+    common = F.col("record_id"), F.lit(GEO)
+    good = bought.where("hit").select(*M.success(*common, text("geo_region"), text("currency"), F.lit(0), F.lit(False), old))
+    bad = bought.where("hit is null").select(*M.failure(*common, text("currency"), F.lit(0), F.lit("not found"), F.lit(False), old))
+    field = lambda c: F.try_variant_get(F.try_element_at(c, F.lit("v")), "$.v", "string")
+    return good.unionByName(bad).select(F.col("document_id").alias("record_id"), "enricher_name", "success", "error_message", "reflow", field("enriched_fields").alias("geo_region"), field("original_payload").alias("currency"))
+
+
 QUERIES = {f.__name__: f for f in (
     raw_parse, guard_accept, guard_drop, guard_per_path, geo_request_map, geo_response_map, field_map, client_payload, client_typed, dsl_term, dsl_bool_must, dsl_geo_region, dsl_match_all, dsl_match, dsl_match_text, dsl_ids,
     reflow_count_slices, slice_partition, page_first, page_after_cursor, fetch_by_ids, enrich_lookup_single, bulk_batches, realtime_pipeline, offline_pipeline, join_partial, union_results, carry_forward_merge, merged_document, emission_cycles, retry_outcomes,
+    join_complete, join_reflow_expected, late_second_cycle, update_counts, raw_messages, http_enrich_stub, result_rows,
 )}
 
 _COORDINATES = "kafka_topic, kafka_partition, kafka_offset"
@@ -298,23 +373,58 @@ _RESULTS = f"""
   docs as (select *, payload->>'$.storeId' as store_id, payload->>'$.currency' as currency from ({_guard_sql("document_id, coalesce(reflow, false)", _VALID)})),
   currencies as (select currency, count(*)::varchar as n_purchases from purchase_documents where currency is not null group by 1),
   results as (
-    select document_id, batch_id, {_COORDINATES}, reflow, existing_enrichments, '{GEO}' as enricher_name, s.store_id is not null as success, s.geo_region as field from docs d left join stores s using (store_id) where accepted
+    select document_id, batch_id, {_COORDINATES}, reflow, existing_enrichments, store_id, '{GEO}' as enricher_name, s.store_id is not null as success, s.geo_region as field from docs d left join stores s using (store_id) where accepted
     union all
-    select document_id, batch_id, {_COORDINATES}, reflow, existing_enrichments, '{CURRENCY}', c.currency is not null, c.n_purchases from docs d left join currencies c using (currency) where not reflow and d.currency is not null)"""
+    select document_id, batch_id, {_COORDINATES}, reflow, existing_enrichments, store_id, '{CURRENCY}', c.currency is not null, c.n_purchases from docs d left join currencies c using (currency) where not reflow and d.currency is not null)"""
 
 
 def _pipeline_sql(where: str) -> str:
     seq = "(batch_id, kafka_topic, kafka_partition, kafka_offset)"
     return f"""with {_RESULTS},
   grouped as (
-    select document_id, arg_min(reflow, {seq}) as reflow, list(distinct enricher_name order by enricher_name) as names,
+    select document_id, arg_min(reflow, {seq}) as reflow, arg_min({{'v': store_id}}, {seq}).v as first_store, arg_min(json_keys(existing_enrichments), {seq}) filter (reflow and existing_enrichments is not null) as existing, list(distinct enricher_name order by enricher_name) as names,
       arg_max({{'ok': success, 'v': field}}, {seq}) filter (enricher_name = '{GEO}') as geo, arg_max({{'ok': success, 'v': field}}, {seq}) filter (enricher_name = '{CURRENCY}') as cur
     from results where {where} group by 1)
-  select document_id, reflow, case when reflow then not list_contains(names, '{GEO}') else len(names) < 2 end as is_partial, array_to_string(names, ',') as reported,
+  select document_id, reflow, case when reflow then not list_contains(names, '{GEO}') else len(names) < 2 end as is_partial, array_to_string(names, ',') as reported, first_store,
+    len(list_distinct(list_concat(coalesce(existing, []), case when geo.ok then ['{GEO}'] else [] end, case when cur.ok then ['{CURRENCY}'] else [] end)))::int as n_enrichments,
     case when geo.ok then geo.v end as geo_region, case when cur.ok then cur.v end as n_purchases from grouped"""
 
 
+#: Emissions by a recursion over each document's results: state is the open cycle's start, whom it waits for, and who reported (1 currency, 2 geo).
+_CYCLES = f"""with recursive
+  d as (select document_id, coalesce(reflow, false) as reflow, batch_id, {_COORDINATES}, epoch_ms(ingested_at) as t, payload->>'$.currency' as currency from {_VALID} where document_id is not null),
+  u as (select document_id, reflow, batch_id, {_COORDINATES}, t, 2 as bit from d
+    union all select document_id, reflow, batch_id, {_COORDINATES}, t + case when batch_id % 2 = 0 then 60000 else 1000 end, 1 from d where currency is not null),
+  r as (select *, row_number() over (partition by document_id order by t, batch_id, {_COORDINATES}, bit desc) as rn, count(*) over (partition by document_id) as n from u),
+  step as (
+    select document_id, 0::bigint as rn, 0::bigint as started, 0 as wanted, 0 as got, null::bigint as late_start, 0 as late_got, null::bigint as full_start, 0 as full_got, 0::bigint as t, false as is_last from (select distinct document_id from r)
+    union all
+    select document_id, rn, start, want, case when (want & ~now) = 0 then 0 else now end, case when due then old end, old_got, case when (want & ~now) = 0 then start end, now, t, is_last from (
+      select r.document_id, r.rn, r.t, r.rn = r.n as is_last, s.got > 0 and r.t >= s.started + 30000 as due, s.started as old, s.got as old_got,
+        case when s.got > 0 and not due then s.started else r.t end as start, case when s.got > 0 and not due then s.wanted when r.reflow then 2 else 3 end as want,
+        (case when s.got > 0 and not due then s.got else 0 end) | r.bit as now
+      from step s join r on r.document_id = s.document_id and r.rn = s.rn + 1)),
+  emitted as (
+    select document_id, rn, 0 as k, late_start as started_ms, late_start + 30000 as emitted_ms, true as is_partial, late_got as got from step where late_start is not null
+    union all select document_id, rn, 1, full_start, t, false, full_got from step where full_start is not null
+    union all select document_id, rn, 2, started, started + 30000, true, got from step where is_last and got > 0)
+  select document_id, row_number() over (partition by document_id order by rn, k)::int as cycle, started_ms, emitted_ms, is_partial,
+    case got when 1 then '{CURRENCY}' when 2 then '{GEO}' else '{CURRENCY},{GEO}' end as reported from emitted"""
+
+
 SQL = {
+    "emission_cycles": _CYCLES,
+    "late_second_cycle": f"select document_id, count(*) as n_cycles, count(*) filter (not is_partial) as n_complete from ({_CYCLES}) group by 1 having count(*) > 1",
+    "join_complete": f"select document_id, reported, first_store from ({_pipeline_sql('true')}) where not is_partial",
+    "join_reflow_expected": f"select document_id, reflow, case when reflow then '{GEO}' else '{CURRENCY},{GEO}' end as expected, is_partial from ({_pipeline_sql('true')})",
+    "update_counts": "select o_orderkey::varchar as document_id, case when o_orderkey % 6 in (0, 1) then o_orderkey else 0 end::bigint as boomerang_update_count from orders",
+    "raw_messages": f"""select {_COORDINATES}, case when ok then document_id end as document_id, case when ok then coalesce(boomerang_update_count, 0) else 0 end as n_update, case when ok then coalesce(reflow, false) else false end as reflow,
+      case when ok and payload is not null then len(json_keys(payload)) else 0 end::int as n_fields, document_id is null or not ok as malformed from (select *, coalesce(json_valid(payload), true) as ok from raw_documents)""",
+    "http_enrich_stub": f"""with s as (select *, coalesce(try_cast(regexp_replace(store_id, '[^0-9]', '', 'g') as int), 0) as n from stores), m as (select *, unnest(['single', 'bulk']) as mode from s)
+      select store_id as document_id, mode, '{GEO}' as enricher_name, ok as success, case when not ok then 'service answered 503' end as error_message, case when ok then country end as geo_region,
+        case when ok and n % 5 <> 0 then n || ',' || -n end as geo_location, case when ok then city end as geo_timezone from (select *, mode = 'bulk' or n % 7 <> 0 as ok from m)""",
+    "result_rows": f"""select record_id, '{GEO}' as enricher_name, s.store_id is not null as success, case when s.store_id is null then 'not found' end as error_message, false as reflow, s.geo_region, currency
+      from purchase_documents left join stores s using (store_id)""",
     "raw_parse": f"""select {_COORDINATES}, coalesce(boomerang_update_count, 0) as n_update, case when ok then payload->>'$.storeId' end as store_id, case when ok then payload->>'$.currency' end as currency,
       case when ok then payload->>'$.firstName' end as first_name, document_id is null or not ok as dead_letter from (select *, coalesce(json_valid(payload), false) as ok from raw_documents)""",
     "guard_accept": f"select document_id, n_update, {_COORDINATES} from ({_guard_sql('document_id')}) where accepted",
@@ -343,7 +453,9 @@ SQL = {
       m as (select message_id, nullif(trim(case when json_valid(query_criteria) then query_criteria->>'$.region' end), '') as region, nullif(trim(case when json_valid(query_criteria) then query_criteria->>'$.storeId' end), '') as store_id from reflow_messages),
       c as (select message_id, (select count(*) from d where (m.region is null or d.region = m.region) and (m.store_id is null or d.store_id = m.store_id)) as n_documents from m),
       s as (select *, cast(case when n_documents = 0 then 0 when n_documents <= 1000 then 1 else least(10, ceil(n_documents / 1000)) end as int) as max_slices from c)
-      select message_id, n_documents, cast(unnest(range(max_slices)) as int) as slice_id, max_slices from s where max_slices > 0""",
+      select * exclude (d), concat_ws('-', d[1:8], d[9:12], d[13:16], d[17:20], d[21:32]) || ':' || slice_id as slice_key, max_slices > 1 as is_sliced from (
+        select message_id, n_documents, cast(unnest(range(max_slices)) as int) as slice_id, max_slices from s where max_slices > 0)
+      join (select message_id, md5(concat_ws('|', message_id, coalesce(enricher_name, ''), coalesce(query_criteria, ''))) as d from reflow_messages) using (message_id)""",
     "slice_partition": f"select {_KEY} as document_id, {_SLICE.format(n=4)} as slice_id from raw_documents",
     "page_first": f"select {_KEY} as document_id, (payload->>'$.{SORT}')::double as sort_value from {_VALID} order by sort_value desc nulls last, document_id limit {PAGE}",
     "page_after_cursor": f"""select {_KEY} as document_id, (payload->>'$.{SORT}')::double as sort_value from {_VALID} where payload->>'$.currency' = 'EUR' and {_SLICE.format(n=2)} = 1

@@ -52,21 +52,30 @@ def service_calls(refetch: enrich.Refetch | None) -> Call:
     return lambda rows, e: enrich.call_service(rows, service_of(e), None if not e.rate_limit_per_second else e.parallelism, refetch=refetch)
 
 
+def all_services(documents: DataFrame, cfg: PipelineConfig, refetch: enrich.Refetch | None) -> DataFrame:
+    """Documents with their enricher_name through their enrichers, in one operator; its partitions are the greatest parallelism of a limited enricher."""
+    limited = [e.parallelism for e in cfg.enrichers if e.rate_limit_per_second]
+    return enrich.call_services(documents, {e.name: service_of(e) for e in cfg.enrichers}, max(limited, default=None), refetch=refetch)
+
+
 def batch_results(cfg: PipelineConfig, raw: DataFrame | None, reflow: DataFrame | None, call: Call, order: list[str], chunk: str | None = None) -> DataFrame:
     """Results of all enrichers for a batch.
 
     ``call`` gives a frame of documents with enricher_name, enriched_fields, success and error_message. Raw and reflow
     documents have document_id, boomerang_update_count, reflow and the order columns; reflow ones may
-    have enricher_name, the enricher that asked for them.
+    have enricher_name, the enricher that asked for them. The guard is one plan per path, whatever the number of enrichers, and its
+    exchanges are made once.
     """
     frames = []
+    realtime = raw if cfg.mode == "REALTIME" else None
+    fresh = guard.accept(realtime, ["document_id"], order, chunk=chunk) if realtime is not None and cfg.reflow_names() else None
+    asked = reflow is not None and "enricher_name" in reflow.columns
+    again = guard.accept(reflow, ["document_id", *(["enricher_name"] if asked else [])], order, chunk=chunk) if reflow is not None and cfg.reflow_names() else None
     for e in cfg.enrichers:
-        if cfg.mode == "REALTIME" and raw is not None:
-            rows = guard.accept(raw, ["document_id"], order, chunk=chunk) if e.reflow_enabled else raw
-            frames.append(call(rows, e))
-        if e.reflow_enabled and reflow is not None:
-            mine = reflow.where(F.col("enricher_name") == e.name).drop("enricher_name") if "enricher_name" in reflow.columns else reflow
-            frames.append(call(guard.accept(mine, ["document_id"], order, chunk=chunk), e))
+        if realtime is not None:
+            frames.append(call(fresh if e.reflow_enabled else realtime, e))
+        if e.reflow_enabled and again is not None:
+            frames.append(call(again.where(F.col("enricher_name") == e.name).drop("enricher_name") if asked else again, e))
     return union_all(frames)
 
 
@@ -92,7 +101,8 @@ def stage_requests(spark: SparkSession, cfg: PipelineConfig, store: DocStore, st
     cfg.validate()
     asked = [e for e in cfg.enrichers if e.reflow_enabled]
     queries = {e.name: create(e.class_name, e.properties).reflow_query for e in asked}
-    scanned = messages.scan(spark, sorted({e.reflow_topic for e in asked}), cfg.kafka.bootstrap_servers, folder, starting=cfg.kafka.starting_offsets)
+    group = "-".join(sorted({e.reflow_consumer_group for e in asked if e.reflow_consumer_group}))
+    scanned = messages.scan(spark, sorted({e.reflow_topic for e in asked}), cfg.kafka.bootstrap_servers, folder, starting=cfg.kafka.starting_offsets, group=group)
     requests = messages.split_malformed(messages.parse_reflow(scanned), cfg.malformed)[0]
 
     def body(batch: DataFrame, batch_id: int) -> None:
@@ -137,20 +147,18 @@ def stream_documents(spark: SparkSession, cfg: PipelineConfig, raw_folder: str |
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", processors.STATE_STORE)
     inputs = []
     if cfg.mode == "REALTIME":
-        scanned = messages.scan(spark, [cfg.kafka.raw_topic], cfg.kafka.bootstrap_servers, raw_folder, starting=cfg.kafka.starting_offsets)
+        group = "-".join(sorted({e.consumer_group for e in cfg.enrichers if e.consumer_group}))
+        scanned = messages.scan(spark, [cfg.kafka.raw_topic], cfg.kafka.bootstrap_servers, raw_folder, starting=cfg.kafka.starting_offsets, group=group)
         inputs.append(_fan_out(messages.split_malformed(messages.parse_raw(scanned), cfg.malformed)[0], cfg, "realtime"))
     if staged_folder is not None and cfg.reflow_names():
         parsed = messages.parse_raw(_staged(spark, staged_folder)).withColumn("enricher_name", F.try_variant_get(F.try_parse_json("value"), "$.enricherName", "string"))
         inputs.append(_fan_out(messages.split_malformed(parsed, cfg.malformed)[0], cfg, "reflow"))
-    documents = union_all(inputs)
+    # One guard and one operator for all enrichers, so each source is read once.
     unguarded = [e.name for e in cfg.enrichers if not e.reflow_enabled]
-    free = (F.col("path") == "realtime") & F.col("enricher_name").isin(unguarded) if unguarded else F.lit(False)
-    kept = processors.guard(documents.where(~free))
-    if unguarded:
-        kept = kept.unionByName(documents.where(free).select(*processors.DOCUMENT.names))
-    call = service_calls(refetch or refetch_of(cfg))
-    results = union_all([call(kept.where(F.col("enricher_name") == e.name).drop("enricher_name"), e) for e in cfg.enrichers])
-    results = results.withColumnRenamed("enriched_fields", "fields_json")
-    joined = processors.join(results, cfg.names(), cfg.reflow_names(), cfg.joiner.timeout_ms, cfg.joiner.reflow_expected == "triggering_only")
-    typed = joined.select("document_id", F.try_variant_get(F.try_parse_json("original_payload"), "$", "map<string,variant>").alias("original_payload"), F.try_variant_get(F.try_parse_json("enrichments"), "$", "map<string,map<string,variant>>").alias("enrichments"), F.unix_millis(F.current_timestamp()).alias("timestamp"))
-    return sinks.as_json(typed)
+    results = all_services(processors.guard(union_all(inputs), unguarded), cfg, refetch or refetch_of(cfg)).withColumnRenamed("enriched_fields", "fields_json")
+    joined = processors.join(results, cfg.names(), cfg.reflow_names(), cfg.joiner.timeout_ms, cfg.joiner.reflow_expected == "triggering_only", cfg.joiner.join_key == "document_version")
+    typed = joined.select(
+        "document_id", "boomerang_update_count", F.try_variant_get(F.try_parse_json("original_payload"), "$", "map<string,variant>").alias("original_payload"),
+        F.try_variant_get(F.try_parse_json("enrichments"), "$", "map<string,map<string,variant>>").alias("enrichments"), F.unix_millis(F.current_timestamp()).alias("timestamp"),
+    )
+    return sinks.as_json(typed, cfg.emit_update_count)
