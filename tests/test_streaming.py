@@ -8,6 +8,7 @@ from weirflow import config, sinks
 from weirflow.enrichers.base import Enricher
 from weirflow.operators import reflow
 from weirflow.plans import pipeline
+from weirflow.sources import messages
 from weirflow.sources.docstore import DocStore
 from weirflow.streaming import processors
 
@@ -187,3 +188,11 @@ def test_versions_are_joined_by_themselves_and_their_count_is_emitted(spark, tmp
     query = sinks.write(pipeline.stream_documents(spark, c, raw_folder=str(tmp_path)), str(tmp_path / "checkpoint"), folder=str(tmp_path / "out"))
     got = until(query, lambda: read(spark, str(tmp_path / "out")), 2)
     assert sorted((d["boomerangUpdateCount"], d["v"], d["enrichments"]["b"]["b"]) for d in got) == [(1, 10, 10), (2, 20, 20)]
+
+
+def test_lines_of_one_file_are_in_order(spark, tmp_path):
+    """The guard sees the versions of one file in the order of its lines."""
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "1.json").write_text("\n".join(f'{{"n": {i}}}' for i in range(50)) + "\n")
+    rows = messages.scan(spark, ["t"], folder=str(tmp_path), stream=False).orderBy("offset").collect()
+    assert [json.loads(r.value)["n"] for r in rows] == list(range(50)) and len({r.offset for r in rows}) == 50

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.documents import overlay
 
@@ -54,43 +55,57 @@ def joined(results: DataFrame, all_names: list[str], reflow_names: list[str], ke
 
 
 CYCLES = "document_id string, cycle int, started_ms bigint, emitted_ms bigint, is_partial boolean, reported string"
+_EMITTED = "document_id string, segment bigint, k int, started_ms bigint, emitted_ms bigint, is_partial boolean, reported string"
 
 
 def cycles(results: DataFrame, all_names: list[str], reflow_names: list[str], timeout_ms: int = 30_000) -> DataFrame:
     """The emissions of a document when results arrive over time: arrival_ms and seq order them.
 
     A cycle starts with a result while none is open, ends when complete or ``timeout_ms`` after it started, and
-    a later result opens the next one. The fold runs over sorted partitions and holds one document's open
-    cycle, so a document with very many results needs no more memory than any other.
+    a later result opens the next one. No cycle reaches over a pause of ``timeout_ms``, so a document's results are cut into
+    segments there, which are folded by themselves: a document with very many results is spread, and a fold holds
+    one open cycle only.
     """
     expect = {False: frozenset(all_names), True: frozenset(reflow_names)}
+    names = [c.split()[0] for c in _EMITTED.split(", ")]
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        doc, n, start, wanted, got = None, 0, 0, frozenset(), set()
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, segment, k, start, wanted, got = None, None, 0, 0, frozenset(), set()
         out: list[tuple] = []
 
         def close(at: int, partial: bool) -> None:
-            nonlocal n, got
-            n += 1
-            out.append((doc, n, start, at, partial, ",".join(sorted(got))))
-            got = set()
-
-        for pdf in batches:
-            for d, at, name, reflow in zip(pdf.document_id, pdf.arrival_ms.tolist(), pdf.enricher_name, pdf.reflow, strict=True):
-                if got and (d != doc or at >= start + timeout_ms):
+            nonlocal k, got
+            out.append((doc, segment, k, start, at, partial, ",".join(sorted(got))))
+            k, got = k + 1, set()
+
+        def batch() -> pa.RecordBatch:
+            rows = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string()), strict=True)], names)
+            out.clear()
+            return rows
+
+        for part in batches:
+            for d, s, at, name, reflow in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if got and (d != doc or s != segment or at >= start + timeout_ms):
                     close(start + timeout_ms, True)
-                if d != doc:
-                    doc, n = d, 0
+                if d != doc or s != segment:
+                    doc, segment, k = d, s, 0
                 if not got:
                     start, wanted = at, expect[bool(reflow)]
                 got.add(name)
                 if wanted <= got:
                     close(at, False)
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in CYCLES.split(", ")])
-            out.clear()
+            if out:
+                yield batch()
         if got:
             close(start + timeout_ms, True)
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in CYCLES.split(", ")])
-
-    rows = results.select("document_id", "arrival_ms", "seq", "enricher_name", "reflow").where("document_id is not null")
-    return rows.repartition("document_id").sortWithinPartitions("document_id", "arrival_ms", "seq").mapInPandas(fold, CYCLES)
+            yield batch()
+
+    order = ["arrival_ms", "seq"]
+    within = Window.partitionBy("document_id").orderBy(*order)
+    pause = F.coalesce(F.col("arrival_ms") - F.lag("arrival_ms").over(within) >= timeout_ms, F.lit(False))
+    rows = results.select("document_id", *order, "enricher_name", "reflow").where("document_id is not null").withColumn("pause", pause)
+    rows = rows.withColumn("segment", F.sum(F.col("pause").cast("bigint")).over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.repartition("document_id", "segment").sortWithinPartitions("document_id", "segment", *order)
+    emitted = rows.select("document_id", "segment", "arrival_ms", "enricher_name", "reflow").mapInArrow(fold, _EMITTED)
+    number = F.row_number().over(Window.partitionBy("document_id").orderBy("segment", "k"))
+    return emitted.withColumn("cycle", number).select(*(c.split()[0] for c in CYCLES.split(", ")))

@@ -13,7 +13,7 @@ from ..schemas import ENRICHMENTS, OBJECT
 
 
 def scan(spark: SparkSession, topics: list[str], bootstrap: str = "", folder: str | None = None, stream: bool = True, starting: str = "earliest", group: str | None = None, most_per_trigger: int | None = None) -> DataFrame:
-    """Messages as value, topic, partition, offset: from Kafka, or of files ``folder/topic/*`` of JSON lines."""
+    """Messages as value, topic, partition, offset: from Kafka, or of files ``folder/topic/*`` of JSON lines (stand-ins of topics in tests, each read as a whole; lines are numbered)."""
     if folder is None:
         reader = spark.readStream if stream else spark.read
         reader = reader.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("subscribe", ",".join(topics)).option("startingOffsets", starting)
@@ -24,18 +24,17 @@ def scan(spark: SparkSession, topics: list[str], bootstrap: str = "", folder: st
         return reader.load().select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
     out = None
     for topic in topics:
-        if stream:
-            lines = spark.readStream.schema("value string").option("maxFilesPerTrigger", most_per_trigger or 1000).text(f"{folder}/{topic}")
-        else:
-            lines = spark.read.schema("value string").text(f"{folder}/{topic}")
-        part = lines.select("value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"), file_offset().alias("offset"))
+        reader = spark.readStream.option("maxFilesPerTrigger", most_per_trigger or 1000) if stream else spark.read
+        files = reader.schema("value string").option("wholetext", "true").text(f"{folder}/{topic}")
+        lines = files.select(file_offset().alias("at"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "value")).where("value <> ''")
+        part = lines.select("value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"), (F.col("at") + F.col("line")).alias("offset"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def file_offset() -> Column:
-    """What orders lines of files: the time of their file, in microseconds since 2020."""
-    return F.unix_micros(F.col("_metadata.file_modification_time")) - F.lit(1_577_836_800_000_000)
+    """What orders files: their time, in milliseconds since 2020, with room for 16 million lines each."""
+    return (F.unix_millis(F.col("_metadata.file_modification_time")) - F.lit(1_577_836_800_000)) * F.lit(1 << 24)
 
 
 def blank(c: Column) -> Column:
