@@ -7,7 +7,7 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 import pytest
 from pyspark.sql import functions as F
 
-from weirflow import config
+from weirflow import config, sinks
 from weirflow.enrichers.base import Enricher, create
 from weirflow.enrichers.geo import PurchaseGeoEnricher
 from weirflow.enrichers.http import HttpEnricher
@@ -16,7 +16,7 @@ from weirflow.functions import mappers as M
 from weirflow.operators import enrich, guard, joiner, reflow
 from weirflow.sources import messages
 from weirflow.sources.docstore import DocStore, SearchSource
-from weirflow.sources.query import compile_query, geo_reflow_query
+from weirflow.sources.query import compile_query, geo_reflow_query, simple_region_query
 
 KEBAB = """
 service:
@@ -84,6 +84,14 @@ def store_of(spark, n=23):
     return DocStore(spark.createDataFrame([*docs, ("gone", None)], "document_id string, source string"))
 
 
+def test_region_query_and_batch_sink(spark, tmp_path):
+    rows = spark.createDataFrame([("a", '{"geo_region": "x"}'), ("b", '{"geo_region": "y"}')], "document_id string, source string")
+    found = DocStore(rows).where(simple_region_query("x")).select(F.col("document_id").alias("value"))
+    sinks.write_batch(found, folder=str(tmp_path / "out"))
+    sinks.write_batch(found, folder=str(tmp_path / "out"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "out")).collect()] == ["a", "a"]
+
+
 class TestStore:
     def test_pages_are_the_whole_in_order(self, spark):
         store = store_of(spark)
@@ -109,6 +117,21 @@ class TestStore:
         assert [reflow.slices_of(store, None, t, 10) for t in (24, 23)] == [[({"match_all": {}}, 0, 1)], [({"match_all": {}}, 0, 2), ({"match_all": {}}, 1, 2)]]
         assert len(reflow.slices_of(store, None, 1, 10)) == 10 and reflow.slices_of(store, {"storeId": "none"}) == []
 
+    def test_fields_that_are_columns(self, spark, tmp_path):
+        """Filters on them reach the scan, and nothing is parsed; results are those of the parsed documents."""
+        spark.createDataFrame([(f"d{i}", json.dumps({"a": {"b": str(i % 3)}, "n": i}), str(i % 3), float(i)) for i in range(9)], "id string, doc string, ab string, n double").write.parquet(str(tmp_path / "s"))
+        plain, fast = DocStore(spark.read.parquet(str(tmp_path / "s")), "id", "doc"), DocStore(spark.read.parquet(str(tmp_path / "s")), "id", "doc", {"a.b": "ab", "n": "n"})
+        for query in ({"term": {"a.b": "1"}}, {"bool": {"must": [{"range": {"n": {"gt": 3}}}], "must_not": {"term": {"a.b": "2"}}}}, None):
+            assert sorted(r.document_id for r in fast.where(query).collect()) == sorted(r.document_id for r in plain.where(query).collect())
+            assert [r.document_id for r in fast.page(query, 2, sort_field="n").collect()] == [r.document_id for r in plain.page(query, 2, sort_field="n").collect()]
+        plan = fast.where({"term": {"a.b": "1"}}).select("document_id")._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(ab,1)" in plan and "parse_json" not in plan
+
+    def test_remote_hosts_in_turn(self, spark, service):
+        spark.dataSource.register(SearchSource)
+        rows = spark.read.format("weirflow_search").options(url=f"http://127.0.0.1:1, {service.url}", index="i", slices=2, page=3).load().collect()
+        assert len(rows) == 9
+
     def test_remote(self, spark, service):
         spark.dataSource.register(SearchSource)
         rows = spark.read.format("weirflow_search").options(url=service.url, index="i", slices=2, page=3, user="u", password="p").load().collect()

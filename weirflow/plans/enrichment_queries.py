@@ -106,6 +106,14 @@ def dsl_term(spark: SparkSession, folder: str) -> DataFrame:
     return _store(spark, folder).where({"term": {"storeId": "ST-0001"}}).select("document_id")
 
 
+def dsl_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """A query over fields that the store keeps as columns: it is filtered in the scan, and documents aren't parsed."""
+    bought = table(spark, folder, "purchase_documents")
+    store = DocStore(bought.withColumn("source", F.to_json(F.struct("store_id", "currency"))), "record_id", "source", {"storeId": "store_id", "currency": "currency", "startTime": "start_time"})
+    query = {"bool": {"must": [{"term": {"storeId": "ST-0001"}}, {"range": {"startTime": {"gte": 1600000000000}}}], "must_not": [{"terms": {"currency": ["EUR", "USD"]}}]}}
+    return store.where(query).select(F.col("document_id").alias("record_id"))
+
+
 def dsl_bool_must(spark: SparkSession, folder: str) -> DataFrame:
     return _store(spark, folder).where(BOTH).select("document_id")
 
@@ -281,6 +289,13 @@ def merged_document(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(*ORDER, F.explode("document").alias("field", "value")).select(*ORDER, "field", value.alias("value"))
 
 
+def output_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The merged documents as JSON strings: their id, store, and number of keys."""
+    rows = _documents(spark, folder).select(*ORDER, "document_id", "original_payload", F.lit(0).alias("timestamp"), F.col("existing_enrichments").alias("enrichments"))
+    document = F.to_json(D.merged(F.col("original_payload"), F.col("document_id"), F.col("timestamp"), F.col("enrichments")), {"ignoreNullFields": "false"})
+    return rows.select(*ORDER, document.alias("value")).select(*ORDER, F.get_json_object("value", "$.documentId").alias("document_id"), F.get_json_object("value", "$.storeId").alias("store_id"), F.size(F.json_object_keys("value")).alias("n_keys"))
+
+
 def emission_cycles(spark: SparkSession, folder: str) -> DataFrame:
     """Emissions over time: results arrive when their message was ingested, those of the currency enricher a minute later for every other batch."""
     rows = _documents(spark, folder)
@@ -354,6 +369,7 @@ QUERIES = {f.__name__: f for f in (
     raw_parse, guard_accept, guard_drop, guard_per_path, geo_request_map, geo_response_map, field_map, client_payload, client_typed, dsl_term, dsl_bool_must, dsl_geo_region, dsl_match_all, dsl_match, dsl_match_text, dsl_ids,
     reflow_count_slices, slice_partition, page_first, page_after_cursor, fetch_by_ids, enrich_lookup_single, bulk_batches, realtime_pipeline, offline_pipeline, join_partial, union_results, carry_forward_merge, merged_document, emission_cycles, retry_outcomes,
     join_complete, join_reflow_expected, late_second_cycle, update_counts, raw_messages, http_enrich_stub, result_rows,
+    dsl_columns, output_documents,
 )}
 
 _COORDINATES = "kafka_topic, kafka_partition, kafka_offset"
@@ -425,6 +441,9 @@ SQL = {
         case when ok and n % 5 <> 0 then n || ',' || -n end as geo_location, case when ok then city end as geo_timezone from (select *, mode = 'bulk' or n % 7 <> 0 as ok from m)""",
     "result_rows": f"""select record_id, '{GEO}' as enricher_name, s.store_id is not null as success, case when s.store_id is null then 'not found' end as error_message, false as reflow, s.geo_region, currency
       from purchase_documents left join stores s using (store_id)""",
+    "dsl_columns": "select record_id from purchase_documents where store_id = 'ST-0001' and start_time >= 1600000000000 and not coalesce(currency in ('EUR', 'USD'), false)",
+    "output_documents": f"""select {_COORDINATES}, document_id, payload->>'$.storeId' as store_id,
+      len(list_distinct(list_concat(json_keys(payload), ['documentId', 'timestamp'], case when existing_enrichments is null then [] else ['enrichments'] end)))::int as n_keys from {_VALID} where document_id is not null""",
     "raw_parse": f"""select {_COORDINATES}, coalesce(boomerang_update_count, 0) as n_update, case when ok then payload->>'$.storeId' end as store_id, case when ok then payload->>'$.currency' end as currency,
       case when ok then payload->>'$.firstName' end as first_name, document_id is null or not ok as dead_letter from (select *, coalesce(json_valid(payload), false) as ok from raw_documents)""",
     "guard_accept": f"select document_id, n_update, {_COORDINATES} from ({_guard_sql('document_id')}) where accepted",

@@ -37,8 +37,8 @@ def service_of(e: EnricherConfig) -> enrich.Service:
 
 
 def store_url(cfg: PipelineConfig) -> str:
-    host = str(cfg.elasticsearch.hosts[0])
-    return host if "://" in host else f"http://{host}"
+    """The store's hosts, apart by commas."""
+    return ",".join(h if "://" in h else f"http://{h}" for h in map(str, cfg.elasticsearch.hosts))
 
 
 def refetch_of(cfg: PipelineConfig) -> enrich.Refetch | None:

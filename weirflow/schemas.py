@@ -2,8 +2,4 @@
 
 OBJECT = "map<string, variant>"
 ENRICHMENTS = "map<string, map<string, variant>>"
-RAW_JSON = "documentId string, payload variant, boomerangUpdateCount variant, timestamp bigint, reflow boolean, existingEnrichments variant, _corrupt_record string"
-REFLOW_JSON = "enricherName string, queryCriteria variant, timestamp bigint, _corrupt_record string"
-RAW = f"document_id string, payload {OBJECT}, boomerang_update_count bigint, timestamp bigint, reflow boolean, existing_enrichments {ENRICHMENTS}"
-RESULT = f"document_id string, enricher_name string, enriched_fields {OBJECT}, original_payload {OBJECT}, boomerang_update_count bigint, success boolean, error_message string, reflow boolean, existing_enrichments {ENRICHMENTS}, timestamp bigint"
 CLIENT_FIELDS = ("clientId", "firstName", "lastName", "email", "phone", "address", "city", "country", "registrationDate", "tier")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import json
+import urllib.error
 import urllib.request
 
 from pyspark.sql import Column, DataFrame
@@ -24,13 +25,22 @@ def slice_of(key: Column, n: int | Column) -> Column:
 
 
 class DocStore:
-    """A store over a DataFrame with a key column and the document as a JSON string."""
+    """A store over a DataFrame with a key column and the document as a JSON string.
 
-    def __init__(self, df: DataFrame, key: str = "document_id", source: str = "source"):
-        self.df = df.select(F.col(key).alias("document_id"), F.col(source).alias("source")).withColumn("v", F.try_parse_json("source"))
+    ``fields`` names columns that hold fields of the document, by dotted path: filters and sorts on them need no parsing and reach the
+    scan. They must be what the document says, as strings (a sort field: a number).
+    """
+
+    def __init__(self, df: DataFrame, key: str = "document_id", source: str = "source", fields: dict[str, str] | None = None):
+        self.fields = {path: f"_field_{i}" for i, path in enumerate(fields or {})}
+        kept = [F.col(c).alias(self.fields[path]) for path, c in (fields or {}).items()]
+        self.df = df.select(F.col(key).alias("document_id"), F.col(source).alias("source"), *kept).withColumn("v", F.try_parse_json("source"))
+
+    def field(self, path: str) -> Column:
+        return F.col(self.fields[path]) if path in self.fields else json_field(F.col("v"))(path)
 
     def where(self, query: dict | str | None) -> DataFrame:
-        return self.df.where(compile_query(query, json_field(F.col("v")), F.col("document_id")))
+        return self.df.where(compile_query(query, self.field, F.col("document_id")))
 
     def count(self, query: dict | str | None) -> int:
         return self.where(query).count()
@@ -52,7 +62,7 @@ class DocStore:
             if after is not None:
                 rows = rows.where(key > after[-1])
             return rows.orderBy(key).limit(size).withColumn("sort_value", F.lit(None).cast("double"))
-        rows = rows.withColumn("sort_value", json_field(F.col("v"))(sort_field).try_cast("double"))
+        rows = rows.withColumn("sort_value", self.field(sort_field).try_cast("double"))
         s = F.col("sort_value")
         if after is not None:
             rows = rows.where((s.isNull() & (key > after[1])) if after[0] is None else s.isNull() | (s < after[0]) | (s == after[0]) & (key > after[1]))
@@ -108,7 +118,8 @@ class SearchSource(DataSource):
     """``spark.read.format("weirflow_search")`` with options url, index, query, slices, page, sort, user, password, timeout.
 
     A page is asked for by POST url/index/_search with size, query, slice, sort and search_after; a page that is
-    not full is the last. A failed task starts its slice again.
+    not full is the last. ``url`` may name several hosts, apart by commas, that are asked in turn until one answers. A failed task
+    starts its slice again.
     """
 
     @classmethod
@@ -130,7 +141,18 @@ class _SearchReader(DataSourceReader):
         return [_Slice(i) for i in range(int(self.o.get("slices", 1)))]
 
     def _post(self, body: dict) -> dict:
-        request = urllib.request.Request(f"{self.o['url'].rstrip('/')}/{self.o.get('index', '')}/_search", json.dumps(body).encode(), {"Content-Type": "application/json"})
+        *others, last = [u.strip().rstrip("/") for u in self.o["url"].split(",")]
+        for url in others:
+            try:
+                return self._ask(url, body)
+            except urllib.error.HTTPError:
+                raise
+            except OSError:  # no answer: the next host
+                continue
+        return self._ask(last, body)
+
+    def _ask(self, url: str, body: dict) -> dict:
+        request = urllib.request.Request(f"{url}/{self.o.get('index', '')}/_search", json.dumps(body).encode(), {"Content-Type": "application/json"})
         if self.o.get("user"):
             request.add_header("Authorization", "Basic " + base64.b64encode(f"{self.o['user']}:{self.o.get('password', '')}".encode()).decode())
         with urllib.request.urlopen(request, timeout=float(self.o.get("timeout", 30))) as answer:

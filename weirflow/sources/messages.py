@@ -25,7 +25,7 @@ def scan(spark: SparkSession, topics: list[str], bootstrap: str = "", folder: st
     out = None
     for topic in topics:
         reader = spark.readStream.option("maxFilesPerTrigger", most_per_trigger or 1000) if stream else spark.read
-        files = reader.schema("value string").option("wholetext", "true").text(f"{folder}/{topic}")
+        files = reader.schema("value string").text(f"{folder}/{topic}", wholetext=True)
         lines = files.select(file_offset().alias("at"), F.posexplode(F.split("value", r"\r?\n")).alias("line", "value")).where("value <> ''")
         part = lines.select("value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"), (F.col("at") + F.col("line")).alias("offset"))
         out = part if out is None else out.unionByName(part)

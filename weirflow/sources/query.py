@@ -1,6 +1,6 @@
 """The document store's JSON query language as a Column: a filter that Catalyst moves as near to the scan as it can.
 
-Over stored JSON strings that is behind their parsing; over a table whose filter fields are columns (``fields_of``) it is the scan.
+Over stored JSON strings that is behind their parsing; fields that a store keeps as columns of their own are filtered in the scan.
 
 Nodes: term, match, ids, bool with must, match_all; and, for use beyond them, terms, range, exists and bool
 with should, must_not and filter. An unknown node is an error.
@@ -28,11 +28,6 @@ def json_field(source: Column) -> Resolve:
     return resolve
 
 
-def fields_of(df, **columns: str) -> Resolve:
-    """Fields that are columns of a table, by dotted path: those named in ``columns``, any other by its own name."""
-    return lambda path: df[columns.get(path.replace(".", "_"), path)]
-
-
 def compile_query(query: dict | str | None, field: Resolve, key: Column, text_fields: frozenset[str] = frozenset()) -> Column:
     """The predicate of a query; null and empty queries match all. ``text_fields`` are matched by word, all others as a whole."""
     if isinstance(query, str):
