@@ -106,7 +106,7 @@ def normal(df: DataFrame, key: str = "record_id", address: str = "address", city
     for pattern, by in (
         (rf"\b{_UNIT}\b\.?\s*(?:no\b\.?)?\s*\d+[a-z]?\b", " "),
         # Kinds that are written together with the name; allee without an e only where no other kind is named.
-        (rf"([\p{{L}}]{{4,}}?)(?:[ -]?)(strasse|strase|str\b\.?|gasse|weg\b|wg\b\.?|platz|plz\b\.?|pl\.|allee|alle\b(?!.*\b(?:{other_kind})\b)|al\.|g\.)", "$1 $2 "),
+        (rf"(?<=\p{{L}}{{4}})[ -]?(strasse|strase|str\b\.?|gasse|weg\b|wg\b\.?|platz|plz\b\.?|pl\.|allee|alle\b(?!.*\b(?:{other_kind})\b)|al\.|g\.)", " $1 "),
         (r"\bla\b(?=\s+[\p{L}])", " "),
         # Numbers of streets, as in 5th Avenue, are words.
         (_ORDINAL, "o$1o"),
@@ -114,18 +114,21 @@ def normal(df: DataFrame, key: str = "record_id", address: str = "address", city
         a = F.regexp_replace(a, pattern, by)
     # A postcode beside another number.
     a = F.when(a.rlike(r"\b\d{5}\b") & a.rlike(r"\b\d{1,4}[a-z]?\b"), F.regexp_replace(a, r"\b\d{5}\b", " ")).otherwise(a)
-    blank_city = F.trim(F.coalesce(F.col(city), F.lit(""))) == ""
+    # By a generator: through a projection the optimizer would repeat the whole of it in whatever uses it.
+    df = df.where(F.trim(F.col(address)) != "").select(F.col(key).alias("key"), F.coalesce(F.col(city), F.lit("")).alias("city"), F.coalesce(F.col(country), F.lit("")).alias("land"), F.explode(F.array(a)).alias("a"))
+    a = F.col("a")
+    blank_city = F.trim("city") == ""
     # Without a city, a street abbreviation before further words may as well be a saint's: then it's neither for certain.
     maybe_saint = blank_city & a.rlike(r"\p{L}{3,}\s+st\b\.?\s+\p{L}{3,}")
     words = F.regexp_replace(a, _NUMBER, " ")
     numbers = F.transform(F.regexp_extract_all(a, F.lit(r"\b(\d+(?:-\d+)?)"), F.lit(1)), lambda n: F.ltrim(n, F.lit("0")))
-    df = df.where(F.trim(F.col(address)) != "").select(
-        F.col(key).alias("key"),
+    df = df.select(
+        "key",
         F.regexp_replace(F.ltrim(F.regexp_extract(a, _NUMBER, 0), F.lit("0")), r"\s+-?|-(?=[a-z])", "").alias("number"),
         F.array_sort(F.array_distinct(F.slice(numbers, 2, 2**31 - 1))).alias("more"),
         _words(F.when(maybe_saint, F.regexp_replace(words, r"\bst\b", "saint")).otherwise(words)).alias("w"),
-        _words(plain(F.coalesce(F.col(city), F.lit("")))).alias("c"),
-        F.regexp_replace(plain(F.coalesce(F.col(country), F.lit(""))), r"[^\p{L}]", "").alias("land"),
+        _words(plain(F.col("city"))).alias("c"),
+        F.regexp_replace(plain(F.col("land")), r"[^\p{L}]", "").alias("land"),
         F.regexp_extract(a, r"\b\d+[a-z]?\s+(no|so|[nsew]|north|south|east|west)\b\.?\s+[\p{L}]", 1).alias("way"),
     )
     kinds, ways, parts, lands = _map(KINDS), _map(DIRECTIONS), _map(TOWN_PARTS, _fold), _map(COUNTRIES)
@@ -137,10 +140,10 @@ def normal(df: DataFrame, key: str = "record_id", address: str = "address", city
     df = df.withColumn("town", F.expr(town)).withColumn("town_name", F.concat_ws("", "town"))
     town = "if(size(town) < 2, town, array_append(town, town_name))"
     df = df.selectExpr("key", "number", "more", f"{ways}[way] as way", f"transform(w, x -> if({kinds}[x] is null, {fold}, x)) as w", f"{town} as town", "town_name", f"{lands}[land] as country")
-    df = df.selectExpr("*", f"filter(w, x -> not exists(town, y -> coalesce({parts}[x], x) = y or {near}) and not array_contains({optional}, x) or {kinds}[x] is not null and not array_contains(town, x)) as v")
+    df = df.selectExpr("*", f"explode(array(filter(w, x -> not exists(town, y -> coalesce({parts}[x], x) = y or {near}) and not array_contains({optional}, x) or {kinds}[x] is not null and not array_contains(town, x)))) as v")
     named = f"transform(filter(v, x -> {kinds}[x] is null and {ways}[x] is null and not array_contains({optional}, x)), x -> coalesce({parts}[x], x))"
     # A street or hamlet that is called like its town keeps that name.
-    df = df.selectExpr("*", f"{named} as named").selectExpr("* except (named)", f"if(size(named) > 0, named, {named.replace('filter(v,', 'filter(w,')}) as named")
+    df = df.selectExpr("*", f"explode(array({named})) as named").selectExpr("* except (named)", f"explode(array(if(size(named) > 0, named, {named.replace('filter(v,', 'filter(w,')}))) as named")
     return df.selectExpr(
         "key", "number", "more", "country", "way",
         f"array_sort(array_distinct(filter(transform(v, x -> {kinds}[x]), x -> x is not null))) as kinds", "array_sort(array_distinct(named)) as names",
