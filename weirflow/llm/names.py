@@ -24,7 +24,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 from itertools import combinations
 
 import pyarrow as pa
@@ -76,9 +76,13 @@ TAIL = 8
 #: Letters that a form of a word or of an e-mail address keeps.
 KEPT, KEPT_LOCAL = 6, 24
 def plain(text: str) -> str:
-    """Lower case, without accents, umlauts as the plain vowel."""
-    text = "".join(c for c in unicodedata.normalize("NFKD", text.lower().replace("ß", "ss").replace("ł", "l").replace("ø", "o")) if not unicodedata.combining(c))
-    return re.sub("([aou])e", r"\1", text)
+    """Lower case, without accents."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text.lower().replace("ß", "ss").replace("ł", "l").replace("ø", "o")) if not unicodedata.combining(c))
+
+
+def folded(token: str) -> str:
+    """A token with spelt-out umlauts as plain vowels."""
+    return re.sub("([aou])e", r"\1", token)
 
 
 #: Given names by nickname (and by themselves), and the nicknames by given name; both as ``plain`` writes them.
@@ -112,7 +116,7 @@ def email_identity(email: str | None) -> tuple[str, str]:
     runs = re.findall(r"\d+", local) or re.findall(r"\d+", domain.rpartition(".")[0])
     if local in ROLES:
         local += domain
-    return (runs[-1] if runs else ""), re.sub(r"[^a-z0-9]", "", plain(local))
+    return (runs[-1] if runs else ""), re.sub(r"[^a-z0-9]", "", folded(plain(local)))
 
 
 def phone_digits(phone: str | None) -> str:
@@ -142,28 +146,38 @@ def distance(a: str, b: str) -> int:
     return row[-1]
 
 
+def close(a: str, b: str, edits: int) -> bool:
+    """Whether the distance is no more than that."""
+    return abs(len(a) - len(b)) <= edits and distance(a, b) <= edits
+
+
 def most_edits(shorter: int) -> int:
     """The edits that two tokens may differ by, given the shorter one's length."""
     return 0 if shorter < 4 else 1 if shorter < 6 else 2 if shorter < 10 else 3
 
 
+def _given(token: str) -> set[str]:
+    """The given names of a token that is a nickname or a given name, as it is or without spelt-out umlauts."""
+    return _NAMES_OF.get(token, set()) | _NAMES_OF.get(folded(token), set())
+
+
 @lru_cache(1 << 17)
 def alike(a: str, b: str) -> float:
     """What the match of two tokens is worth; 0 if they are different names."""
-    if a == b:
+    if folded(a) == folded(b):
         return SAME
     if len(a) > len(b):
         a, b = b, a
     if len(a) == 1:
-        return INITIAL if b[0] == a or any(s[0] == a for n in _NAMES_OF.get(b, ()) for s in (n, *_SHORT[n])) else 0.0
-    if _NAMES_OF.get(a, set()) & _NAMES_OF.get(b, set()):
+        return INITIAL if b[0] == a or any(s[0] == a for n in _given(b) for s in (n, *_SHORT[n])) else 0.0
+    if _given(a) & _given(b):
         return NICK
-    if distance(a, b) <= most_edits(len(a)) and not (a in _SHORT and b in _SHORT):
+    if any(close(x, y, most_edits(min(len(x), len(y)))) for x, y in ((a, b), (folded(a), folded(b)))) and not (a in _SHORT and b in _SHORT):
         return NEAR
     # A misspelt nickname or given name.
     if _near_names(a) & _near_names(b) and not (a in _SHORT and b in _SHORT):
         return NEAR
-    if any(min(len(x), len(y)) >= 6 and distance(x, y) <= 1 for x in unglued(a) for y in unglued(b)):
+    if any(min(len(x), len(y)) >= 6 and close(x, y, 1) for x in unglued(a) for y in unglued(b)):
         return NEAR
     if _diminutive(a, b) or _diminutive(b, a):
         return ABBREVIATED
@@ -173,15 +187,34 @@ def alike(a: str, b: str) -> float:
     return 0.0
 
 
-@lru_cache(1 << 14)
+def _left_out(word: str) -> set[str]:
+    """A word without up to one letter, without up to two if it is long: words within as many errors share one."""
+    return {"".join(x) for k in range(3 if len(word) >= 9 else 2) for x in combinations(word, len(word) - k)}
+
+
+@cache
+def _index() -> dict[str, set[str]]:
+    """Given names and nicknames by what is left of them."""
+    found: dict[str, set[str]] = {}
+    for s in _NAMES_OF:
+        for rest in _left_out(s):
+            found.setdefault(rest, set()).add(s)
+    return found
+
+
+@lru_cache(1 << 17)
 def _near_names(token: str) -> frozenset[str]:
     """The given names that the token may stand for, as it is or with one error (behind the first letter of a short one), two in a long name."""
 
     def near(s: str) -> bool:
         n = min(len(s), len(token))
-        return s == token or abs(len(s) - len(token)) <= 2 and (n >= 5 or n == 4 and s[0] == token[0]) and distance(s, token) <= (2 if n >= 9 else 1)
+        return s == token or (n >= 5 or n == 4 and s[0] == token[0]) and close(s, token, 2 if n >= 9 else 1)
 
-    return frozenset(n for s, names in _NAMES_OF.items() if near(s) for n in names)
+    if len(token) > 32:  # longer than any of them with its errors
+        return frozenset()
+    met = set().union(*(_index().get(rest, ()) for rest in _left_out(token)))
+    found = frozenset(n for s in met if near(s) for n in _NAMES_OF[s])
+    return found | _near_names(folded(token)) if folded(token) != token else found
 
 
 @lru_cache(1 << 14)
@@ -309,14 +342,14 @@ def long_tokens(name: tuple[str, ...]) -> tuple[str, ...]:
 
 def joined(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
     """Whether names agree once two tokens of the first, that match none, are written together as one of the second; another token must match strongly."""
-    if len(a) < 3 or len(a) <= len(b) - 1:
+    if len(a) < 3 or len(a) < len(b):
         return False
     rest_a, rest_b = ([x for x in s if all(alike(x, y) < STRONG for y in t)] for s, t in ((a, b), (b, a)))
     for x in rest_a:
         for y in rest_a:
-            if x != y and any(min(len(x), len(y)) >= 3 and abs(len(x) + len(y) - len(w)) <= 2 and distance(x + y, w) <= 1 for w in rest_b):
+            if x != y and any(min(len(x), len(y)) >= 3 and close(x + y, w, 1) for w in rest_b):
                 left = tuple(t for t in a if t not in (x, y))
-                others = tuple(w for w in b if distance(x + y, w) > 1)
+                others = tuple(w for w in b if not close(x + y, w, 1))
                 _, alone, n, strong = align(left, others)
                 if strong and alone == 0 and n >= 1:
                     return True
@@ -334,13 +367,13 @@ def _same_email(a: dict, b: dict) -> bool | None:
     """Whether the addresses name one identity; None if that can't be told."""
     if a["number"] and b["number"]:
         return a["number"] == b["number"]
-    if a["local"] and b["local"] and not a["number"] and not b["number"] and distance(a["local"], b["local"]) <= 1:
+    if a["local"] and b["local"] and not a["number"] and not b["number"] and close(a["local"], b["local"], 1):
         return True
     return None
 
 
 def _same_address(a: dict, b: dict) -> bool:
-    return bool(a["house"]) and a["house"] == b["house"] and bool(a["street"]) and bool(b["street"]) and any(distance(x, y) <= 2 for x in a["street"].split() for y in b["street"].split() if len(x) > 4 and len(y) > 4)
+    return bool(a["house"]) and a["house"] == b["house"] and bool(a["street"]) and bool(b["street"]) and any(close(x, y, 2) for x in a["street"].split() for y in b["street"].split() if len(x) > 4 and len(y) > 4)
 
 
 def _tokens(row: dict) -> tuple[str, ...]:
@@ -404,9 +437,15 @@ def fact_keys(row: dict) -> list[int]:
 @lru_cache(1 << 14)
 def token_keys(token: str) -> frozenset[str]:
     """Forms of a token; two tokens of 4 letters or more that match strongly share one."""
+    if folded(token) != token:
+        return _token_keys(token) | _token_keys(folded(token))
+    return _token_keys(token)
+
+
+def _token_keys(token: str) -> frozenset[str]:
     n = len(token)
     if n < 4:
-        return frozenset()
+        return frozenset({f"={token}"})
     keys = {f"={token}", *(f"^{name}" for name in _near_names(token))}
     keys |= {f"g{v}" for rest in unglued(token) if len(rest) >= 6 for v in within(rest, 1)}
     for edits in {most_edits(m) for m in range(4, n + 1) if n - m <= most_edits(m)}:
