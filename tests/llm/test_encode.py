@@ -31,6 +31,16 @@ def test_random_texts(reference):
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == reference(texts)
 
 
+def test_letters_without_blanks_are_cut(reference):
+    rnd = random.Random(4)
+    inside = E.pairs_inside(E.read_ranks(DATA))
+    runs = ["日本語の文章はここにある終わり", "привет", "Ωμέγα", "한국어", "e\u0301", "'re", "l'été", "ーー", "々々", "中", "ﬁ", "ก็"]
+    texts = ["".join(rnd.choice(runs) for _ in range(rnd.randint(10, 80))) for _ in range(1500)]
+    assert all("".join(E.letters_apart(t, inside)) == t for t in texts) and max(map(len, E.letters_apart("日本語の文章はここにある終わり" * 500, inside))) <= 3 * E.LETTERS
+    offsets, ids = E.encode_texts(texts, DATA)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == reference(texts)
+
+
 def test_frame(spark, reference):
     rows = [(1, "Hello  world", "x"), (2, None, None), (3, "", "y"), (3, "", "y"), (None, "a", "z")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string")
