@@ -30,7 +30,7 @@ def test_forms(texts):
 
 
 def test_what_looks_the_same_and_what_does_not():
-    same = [("file", "ﬁle"), ("Café", "Café"), ("cope", "соре"), ("ABC 12", "ＡＢＣ １２"), ("no-one", "no‑​one"), ("が", "が"), ("Mo", "Μο")]
+    same = [("file", "ﬁle"), ("Café", "Café"), ("cope", "соре"), ("ABC 12", "ＡＢＣ １２"), ("no-one", "no‑​one"), ("が", "が"), ("Mo", "Μο"), ("rapid", "ᏒApid".replace("Ꮢ", "r").replace("A", "α")), ("SOUP", "ꓢՕꓴᏢ"), ("a.b:c", "a․b∶c")]
     different = [("resume", "résumé"), ("file", "File"), ("x2", "x²"), ("5", "２"), ("a.b", "a,b"), ("½", "1/2"), ("ab", "a b")]
     for a, b in same:
         assert L.forms([a]) == L.forms([b]), (a, b)
@@ -47,6 +47,9 @@ def test_pairs(spark):
     got = [tuple(r) for r in L.same_looking(df).collect()]
     assert len(got) == len(set(got)) and set(got) == expected and expected
     assert L.same_looking(df.limit(0)).count() == 0
+    links = {r.doc_id: r.links for r in L.classes(df).collect()}
+    assert set(links) == {i for i, t, *_ in rows if t and brute(t).strip()}
+    assert all(links[i] == len({u for _, u, *_ in rows if u and brute(u) == brute(t)}) - 1 for i, t, *_ in rows if i in links)
     forms = {r.doc_id: r.form for r in L.common_form(df).collect()}
     assert forms[4] is None and forms[5] == "" and forms[9] == "copper"
 

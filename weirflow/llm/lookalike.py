@@ -37,11 +37,14 @@ from ..shared import written
 
 #: Letters and marks that a reader takes for a plain one (fixed values).
 LOOKALIKES = {
-    "Latin": ("ɡɑ", "ga"),
+    "Latin": ("ɡɑᴄᴏꜱᴠᴡᴢ", "gacosvwz"),
     "Cyrillic": ("аԁеһіјӏорԛсѕѵԝхуАВСЕԌНІЈКӀМОРԚЅТѴԜХҮУ", "adehijlopqcsvwxyABCEGHIJKIMOPQSTVWXYY"),
-    "Greek": ("ονϲϳΑΒΕΖΗΙϳΚΜΝΟΡΤΥΧϹͿ", "ovcjABEZHIjKMNOPTYXCJ"),
-    "Armenian": ("օ", "o"),
-    "marks": ("‐‑µ", "--μ"),
+    "Greek": ("αιορνϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "aiopvcjABEZHIKMNOPTYXCJ"),
+    "Armenian": ("օսհոցզՏՍՕ", "ouhngqSUO"),
+    "Coptic": ("ⲟⲣⲥⲭⲞⲢⲤⲦⲬⲎⲒⲔⲘⲚⲀⲂⲈⲌ", "opcxOPCTXHIKMNABEZ"),
+    "Cherokee": ("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏒᏔᏕᏙᏚᏞᏟᏢᏦᏴ", "DRTAJEWMHGZRWSVSLCPKB"),
+    "Lisu": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    "marks": ("‐‑µ․∶ꓸ", "--μ.:."),
 }
 #: Default-ignorable code points, as ranges (fixed values).
 IGNORABLE = (
@@ -213,3 +216,10 @@ def same_looking(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     left, right = rows.select("look", F.col("own").alias("own_a"), F.col("key").alias("x")), rows.select("look", F.col("own").alias("own_b"), F.col("key").alias("y"))
     found = twins.join(left, ["look", "own_a"]).join(right, ["look", "own_b"]).where("x <> y")
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Each document whose text isn't blank with the hash of its form as ``look``, and ``links``: how many other texts look the same as its own."""
+    marked = written(signatures(df, key, text), "looks")
+    variants = marked.groupBy("look", "own").agg(F.lit(1).alias("one")).groupBy("look").agg((F.count("*") - 1).alias("links"))
+    return marked.join(variants, "look").select(F.col("key").alias(key), F.hex("look").alias("look"), "links")

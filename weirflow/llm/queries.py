@@ -49,5 +49,10 @@ def p8_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.common_form(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_places, p6_ids, p7_found, p8_found, p8_forms)}
+def p8_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document that isn't blank: the class of all texts that look like its own, and how many other texts that class has."""
+    return lookalike.classes(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_entities, p4_found, p4_places, p6_ids, p7_found, p8_found, p8_forms, p8_classes)}
 SQL = {}
