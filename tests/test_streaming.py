@@ -2,6 +2,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from weirflow import config, sinks
@@ -84,13 +85,38 @@ def test_reflow_goes_round(spark, tmp_path):
     requests = spark.createDataFrame([("a", '{"storeId": "A"}'), ("a", '{"storeId": "A"}'), ("a", '{"storeId": "none"}')], "enricher_name string, query_criteria string")
     for _ in range(2):
         reflow.stage_reflow(requests, 0, store, str(tmp_path / "staged"), threshold=2, max_slices=10)
-    assert spark.read.text(str(tmp_path / "staged")).count() == 3
+    assert spark.read.text(str(tmp_path / "staged") + "/*").count() == 3
     values = pipeline.stream_documents(spark, cfg("OFFLINE"), staged_folder=str(tmp_path / "staged"))
     query = sinks.write(values, str(tmp_path / "checkpoint"), folder=str(tmp_path / "out"))
     got = {d["documentId"]: d["enrichments"] for d in until(query, lambda: read(spark, str(tmp_path / "out")), 3)}
     assert got == {f"d{i}": {"a": {"a": i}, "b": {"old": i}} for i in (1, 3, 5)}
 
 
+class Interrupted(DocStore):
+    """Fails at its second slice until told otherwise, and counts what it fetches."""
+
+    fetched, healthy = (), False
+
+    def fetch_slice(self, query, slice_id=0, max_slices=1):
+        if slice_id == 1 and not self.healthy:
+            raise OSError("lost")
+        self.fetched = (*self.fetched, slice_id)
+        return super().fetch_slice(query, slice_id, max_slices)
+
+
+def test_a_replayed_batch_goes_on_where_it_was(spark, tmp_path):
+    store = Interrupted(spark.createDataFrame([(f"d{i}", json.dumps({"v": i})) for i in range(30)], "document_id string, source string"))
+    requests = spark.createDataFrame([("a", None)], "enricher_name string, query_criteria string")
+    folder = str(tmp_path / "staged")
+    with pytest.raises(OSError):
+        reflow.stage_reflow(requests, 7, store, folder, threshold=10, max_slices=10)
+    store.healthy = True
+    reflow.stage_reflow(requests, 7, store, folder, threshold=5, max_slices=10)
+    reflow.stage_reflow(requests, 7, store, folder, threshold=10, max_slices=10)
+    assert store.fetched == (0, 1, 2)
+    assert sorted(d["documentId"] for d in read(spark, folder + "/*") or [json.loads(r.value) for r in spark.read.text(folder + "/*").collect()]) == sorted(f"d{i}" for i in range(30))
+
+
 class FailsTwice(Echo):
     """Fails for a document until it was read again twice."""
 

@@ -11,6 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import exists, publish_text, read_text
 from ..sources.docstore import DocStore
 from ..sources.messages import blank
 from ..sources.query import geo_reflow_query
@@ -70,21 +71,24 @@ def slices_of(store: DocStore, criteria: dict | None, threshold: int = 10_000, m
 
 
 def stage_reflow(messages: DataFrame, batch_id: int, store: DocStore, folder: str, threshold: int = 10_000, max_slices: int = 10, to_query=geo_reflow_query) -> None:
-    """``foreachBatch`` body: fetches what the batch's requests ask for and writes it as JSON lines of raw messages, per batch id.
+    """``foreachBatch`` body: fetches what the batch's requests ask for and writes it as JSON lines of raw messages, a folder per slice.
 
     ``to_query`` makes a query of the criteria; as a mapping it does so by enricher, and requests for others are left out.
-    A replayed batch overwrites its own folder. Requests are few; documents never pass the driver.
+    The slices are planned once and the plan is kept beside ``folder``, so a replayed batch goes on with the slices that aren't
+    written yet. Requests are few; documents never pass the driver.
     """
-    query_of = to_query.get if isinstance(to_query, dict) else lambda _: to_query
-    rows = messages.select("enricher_name", "query_criteria").distinct().collect()
-    out = None
-    for row in rows:
-        if query_of(row.enricher_name) is None:
-            continue
-        for query, i, n in slices_of(store, json.loads(row.query_criteria) if row.query_criteria else None, threshold, max_slices, query_of(row.enricher_name)):
-            part = store.fetch_slice(query, i, n).withColumn("enricher_name", F.lit(row.enricher_name))
-            out = part if out is None else out.unionByName(part)
-    if out is not None:
-        out.select(F.to_json(F.struct(
-            F.col("document_id").alias("documentId"), "payload", F.col("boomerang_update_count").alias("boomerangUpdateCount"), "timestamp", "reflow",
-            F.col("existing_enrichments").alias("existingEnrichments"), F.col("enricher_name").alias("enricherName"))).alias("value")).write.mode("overwrite").text(f"{folder}/batch={batch_id}")
+    spark, folder = messages.sparkSession, folder.rstrip("/")
+    kept = f"{folder}-plans/{batch_id}"
+    if not exists(spark, kept):
+        query_of = to_query.get if isinstance(to_query, dict) else lambda _: to_query
+        rows = messages.select("enricher_name", "query_criteria").distinct().collect()
+        asked = [(r.enricher_name, json.loads(r.query_criteria) if r.query_criteria else None) for r in rows if query_of(r.enricher_name) is not None]
+        plan = [(name, *slice_) for name, criteria in asked for slice_ in slices_of(store, criteria, threshold, max_slices, query_of(name))]
+        publish_text(spark, kept, json.dumps(plan))
+    for k, (name, query, i, n) in enumerate(json.loads(read_text(spark, kept))):
+        path = f"{folder}/batch={batch_id}-{k}"
+        if not exists(spark, f"{path}/_SUCCESS"):
+            part = store.fetch_slice(query, i, n).select(F.to_json(F.struct(
+                F.col("document_id").alias("documentId"), "payload", F.col("boomerang_update_count").alias("boomerangUpdateCount"), "timestamp", "reflow",
+                F.col("existing_enrichments").alias("existingEnrichments"), F.lit(name).alias("enricherName"))).alias("value"))
+            part.write.mode("overwrite").text(path)
