@@ -184,8 +184,10 @@ def word_forms(word: str) -> str:
 def form_pairs(forms: DataFrame) -> DataFrame:
     """Pairs of form ids that denote the same building."""
     weighed = written(_rarity(forms), "forms")
-    keys = weighed.select("form", F.explode("names").alias("x"), "number").select("form", F.explode(F.array_distinct(F.expr(word_forms("x")))).alias("word"), "number")
-    met = keys.select(F.col("form").alias("a"), "number", "word").join(keys.select(F.col("form").alias("b"), "number", "word"), ["number", "word"]).where("a < b").select("a", "b").distinct()
+    # A block is a hash of the number and a form of a word: what is met by a collision is refused like any other pair.
+    blocks = "explode(array_distinct(flatten(transform(names, y -> transform(" + word_forms("y") + ", z -> xxhash64(number, z)))))) as block"
+    keys = weighed.selectExpr("form", blocks)
+    met = keys.select(F.col("form").alias("a"), "block").join(keys.select(F.col("form").alias("b"), "block"), "block").where("a < b").select("a", "b").distinct()
     side = lambda s: weighed.select(F.col("form").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in (*FORM, "rarity")))
     pairs = met.join(side("a"), "a").join(side("b"), "b")
     pairs = pairs.where("number_a = number_b and (size(array_except(more_a, more_b)) = 0 or size(array_except(more_b, more_a)) = 0) and coalesce(country_a = country_b, true) and coalesce(way_a = way_b, true)").where("size(kinds_a) = 0 or size(kinds_b) = 0 or arrays_overlap(kinds_a, kinds_b)")
