@@ -16,6 +16,7 @@ class KafkaConfig:
     output_topic: str = ""
     starting_offsets: str = "earliest"
     dead_letter_topic: str = ""
+    max_offsets_per_trigger: int = 0  # 0: no limit; bounds what a micro-batch holds of one document
 
 
 @dataclass

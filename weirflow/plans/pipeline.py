@@ -148,7 +148,7 @@ def stream_documents(spark: SparkSession, cfg: PipelineConfig, raw_folder: str |
     inputs = []
     if cfg.mode == "REALTIME":
         group = "-".join(sorted({e.consumer_group for e in cfg.enrichers if e.consumer_group}))
-        scanned = messages.scan(spark, [cfg.kafka.raw_topic], cfg.kafka.bootstrap_servers, raw_folder, starting=cfg.kafka.starting_offsets, group=group)
+        scanned = messages.scan(spark, [cfg.kafka.raw_topic], cfg.kafka.bootstrap_servers, raw_folder, starting=cfg.kafka.starting_offsets, group=group, most_per_trigger=cfg.kafka.max_offsets_per_trigger or None)
         inputs.append(_fan_out(messages.split_malformed(messages.parse_raw(scanned), cfg.malformed)[0], cfg, "realtime"))
     if staged_folder is not None and cfg.reflow_names():
         parsed = messages.parse_raw(_staged(spark, staged_folder)).withColumn("enricher_name", F.try_variant_get(F.try_parse_json("value"), "$.enricherName", "string"))
