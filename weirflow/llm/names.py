@@ -527,9 +527,22 @@ def entities(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return records.select("key", "form"), components(links).join(forms, "form"), links
 
 
+def _bridged(members: DataFrame, links: DataFrame) -> DataFrame:
+    """The members, where e-mail identities of a component that links connect are written as one."""
+    sides = [members.select(F.col("form").alias(s), F.col("label"), F.col("number").alias(f"number_{s}")) for s in "ab"]
+    crossing = links.join(sides[0], "a").join(sides[1].drop("label"), "b").where("number_a <> '' and number_b <> '' and number_a <> number_b")
+    crossing = written(crossing.select(*(F.xxhash64("label", f"number_{s}").alias(s) for s in "ab")).distinct(), "bridges")
+    if crossing.isEmpty():
+        return members
+    one = components(crossing).select(F.col("form").alias("node"), F.col("label").alias("identity"))
+    rows = members.withColumn("node", F.xxhash64("label", "number")).join(one, "node", "left")
+    return rows.withColumn("number", F.coalesce(F.col("identity").cast("string"), "number")).drop("node", "identity")
+
+
 def same_entity(df: DataFrame) -> DataFrame:
     """Pairs ``a`` < ``b`` of records of the same person or organisation, all pairs within an entity."""
-    records, members, _ = entities(df)
+    records, members, links = entities(df)
+    members = _bridged(members, links)
     inside = members.select(F.col("form").alias("a"), "label").join(members.select(F.col("form").alias("b"), "label"), "label").where("a < b").select("a", "b")
     pairs = _compare(inside, members, compatible)
     several = records.groupBy("form").agg(F.count("*").alias("n")).where("n > 1").select(F.col("form").alias("a"), F.col("form").alias("b"))
