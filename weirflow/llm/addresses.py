@@ -106,7 +106,7 @@ def normal(df: DataFrame, key: str = "record_id", address: str = "address", city
     for pattern, by in (
         (rf"\b{_UNIT}\b\.?\s*(?:no\b\.?)?\s*\d+[a-z]?\b", " "),
         # Kinds that are written together with the name; allee without an e only where no other kind is named.
-        (rf"(?<=\p{{L}}{{4}})[ -]?(strasse|strase|str\b\.?|gasse|weg\b|wg\b\.?|platz|plz\b\.?|pl\.|allee|alle\b(?!.*\b(?:{other_kind})\b)|al\.|g\.)", " $1 "),
+        (rf"(?<=\p{{L}}{{4}})[ -]?(strasse|strase|str\b\.?|gasse|weg\b|wg\b\.?|platz|plz\b\.?|pl\b\.?|allee|alle\b(?!.*\b(?:{other_kind})\b)|al\.|g\.)", " $1 "),
         (r"\bla\b(?=\s+[\p{L}])", " "),
         # Numbers of streets, as in 5th Avenue, are words.
         (_ORDINAL, "o$1o"),
