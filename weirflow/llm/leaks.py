@@ -48,6 +48,8 @@ JOIN = 24
 MARGIN = 12
 #: Pairs that are aligned, and whose words are looked at, at a time.
 TOGETHER, LOOKED_AT = 64, 512
+#: Cells of a table of pairs by words of their passages, unless one pair has more.
+CELLS = 2_000_000
 SPAN = 0.42
 DENSITY = 0.7
 LEAST = 8
@@ -263,6 +265,17 @@ def candidates(at: np.ndarray, place: np.ndarray, pair: np.ndarray, need: np.nda
     return (which[starts], first[starts], np.maximum.reduceat(last, starts)) if len(starts) else (which, first, last)
 
 
+def _together(order: np.ndarray, size: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Parts of ``order`` (by ascending size) of at most so many members and ``CELLS`` cells, or of one member."""
+    start = 0
+    while start < len(order):
+        end = start + 1
+        while end < len(order) and end - start < most and (end - start + 1) * size[order[end]] <= CELLS:
+            end += 1
+        yield order[start:end]
+        start = end
+
+
 def leaks_of(found: list[list[str]], index: Index) -> tuple[np.ndarray, np.ndarray]:
     """Row of the text and item, for every leak; texts are given as their words."""
     lengths = np.array([len(w) for w in found], np.int64)
@@ -282,12 +295,10 @@ def leaks_of(found: list[list[str]], index: Index) -> tuple[np.ndarray, np.ndarr
     good = np.zeros(len(pair), bool)
     by_size = np.lexsort((high - low, size))
     chance = np.zeros(len(pair), bool)
-    for start in range(0, len(by_size), LOOKED_AT):
-        part = by_size[start : start + LOOKED_AT]
+    for part in _together(by_size, size, LOOKED_AT):
         chance[part] = hopeful([codes[low[k] : high[k]] for k in part], [index.passages[it[k]] for k in part], len(index.vocabulary))
     by_size = by_size[chance[by_size]]
-    for start in range(0, len(by_size), TOGETHER):
-        part = by_size[start : start + TOGETHER]
+    for part in _together(by_size, size, TOGETHER):
         span, score = stretch([codes[low[k] : high[k]] for k in part], [index.passages[it[k]] for k in part])
         good[part] = (span >= SPAN * size[part]) & (score >= DENSITY * span)
     return row[good], it[good]
