@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import change_log, exactly_once, instants
-from ..shared import scratch
+from ..shared import scratch, written
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,7 +59,7 @@ def _usable(parsed: DataFrame) -> DataFrame:
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """A store's declared zone is weighed against UTC and taken, as it is declared; sources that no store declares are UTC."""
-    bought = _purchases(spark, folder)
+    bought = written(_purchases(spark, folder), "purchases")
     declared = _declared(spark, folder).withColumn("declared", F.lit(True))
     utc = declared.where("zone <> 'UTC'").select("source", F.lit("UTC").alias("zone"), F.lit(1).alias("rank"), F.lit(False).alias("declared"))
     zones = instants.choose_zones(_usable(bought), declared.unionByName(utc)).select("source", "zone")
