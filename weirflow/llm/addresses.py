@@ -92,8 +92,12 @@ _NUMBER = r"\b\d+(?:-\d+)?(?:-?[a-z]\b|\s?(?:bis|ter|quater)\b|\s-?[a-dfh-kmoqt-
 _ORDINAL = r"\b(\d+)(st|nd|rd|th|eme)\b(?=\s+[\p{L}])"
 
 
+def has_address(address: str) -> Column:
+    return F.trim(F.coalesce(F.col(address), F.lit(""))) != ""
+
+
 def normal(df: DataFrame, key: str = "record_id", address: str = "address", city: str = "city", country: str = "country") -> DataFrame:
-    """Records with their parts: number, more (further numbers), direction, kinds, names (words of street and town), town, country."""
+    """Records with an address and its parts: number, more (further numbers), direction, kinds, names (words of street and town), town, country. The key may be a struct."""
     a = F.lower(F.col(address))
     for pattern, by in (
         (r"[\s ]+", " "),
@@ -115,7 +119,7 @@ def normal(df: DataFrame, key: str = "record_id", address: str = "address", city
     # A postcode beside another number.
     a = F.when(a.rlike(r"\b\d{5}\b") & a.rlike(r"\b\d{1,4}[a-z]?\b"), F.regexp_replace(a, r"\b\d{5}\b", " ")).otherwise(a)
     # By a generator: through a projection the optimizer would repeat the whole of it in whatever uses it.
-    df = df.where(F.trim(F.col(address)) != "").select(F.col(key).alias("key"), F.coalesce(F.col(city), F.lit("")).alias("city"), F.coalesce(F.col(country), F.lit("")).alias("land"), F.explode(F.array(a)).alias("a"))
+    df = df.where(has_address(address)).select(F.col(key).alias("key"), F.coalesce(F.col(city), F.lit("")).alias("city"), F.coalesce(F.col(country), F.lit("")).alias("land"), F.explode(F.array(a)).alias("a"))
     a = F.col("a")
     blank_city = F.trim("city") == ""
     # Without a city, a street abbreviation before further words may as well be a saint's: then it's neither for certain.

@@ -495,8 +495,11 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def features(df: DataFrame) -> DataFrame:
     """Records with their form, the parts that are compared, and the keys of their facts."""
-    places = addresses.normal(df.select("record_id", "address", "city", "country")).select(F.col("key").alias("record_id"), F.col("number").alias("house"), F.concat_ws(" ", "names").alias("street"))
-    rows = df.select("record_id", "first_name", "last_name", "email", "phone").join(places.where("house <> ''"), "record_id", "left")
+    own = ("record_id", "first_name", "last_name", "email", "phone")
+    packed = df.select(F.struct(*own).alias("own"), "address", "city", "country")
+    placed = addresses.normal(packed, "own").select("key.*", F.col("number").alias("house"), F.concat_ws(" ", "names").alias("street"))
+    placeless = packed.where(~addresses.has_address("address")).select("own.*", F.lit("").alias("house"), F.lit("").alias("street"))
+    rows = placed.unionByName(placeless)
     return rows.select("record_id", "first_name", "last_name", "email", "phone", "house", "street").mapInArrow(_features, _FEATURES.format(df.schema["record_id"].dataType.simpleString()))
 
 
