@@ -243,6 +243,14 @@ def test_classes_of_places(spark):
     assert set(got) == {0, 1, 2, 3} and got[0] == got[2] and got[0][0] == got[1][0] != got[3][0] and [got[i][1] for i in range(4)] == [1, 1, 1, 0]
 
 
+def test_no_side_of_places_goes_through_the_driver(spark):
+    """Files of a few rows look small, however many keys are exploded from them."""
+    rows = [(f"{n} Baker Street", "London", "GB") for n in range(20)]
+    found = A.same_place(frame(spark, [(None, None, None, None, *r) for r in rows]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_recall_of_planted_addresses(spark):
     """Addresses made up of names that no table has, each written in four ways: at least 0.95 of the pairs are found, and at least 0.98 of what is found is true."""
     import random

@@ -160,14 +160,20 @@ def normal(df: DataFrame, key: str = "record_id", address: str = "address", city
 FORM = ("number", "more", "country", "kinds", "way", "names", "couples", "town", "town_name")
 
 
+def _large(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the rows. Its size is guessed from small files, before lists are exploded and texts unpacked, so it
+    would be sent through the driver as if it were small."""
+    return df.hint("merge")
+
+
 def _rarity(forms: DataFrame) -> DataFrame:
     """Forms with ``rarity``: word -> weight, by the number of rows that have the word."""
     words = forms.select("form", "rows", F.explode("names").alias("word"))
     counts = words.groupBy("word").agg(F.sum("rows").alias("n"))
     total = forms.agg(F.sum("rows")).first()[0] or 0
-    weighed = words.join(counts, "word").withColumn("weight", F.log(1 + F.lit(total) / F.col("n")))
+    weighed = words.join(_large(counts), "word").withColumn("weight", F.log(1 + F.lit(total) / F.col("n")))
     listed = weighed.groupBy("form").agg(F.sort_array(F.collect_list(F.struct("weight", "word")), asc=False).alias("l"))
-    return forms.join(listed, "form").select(forms["*"], F.map_from_arrays(F.col("l.word"), F.col("l.weight")).alias("rarity"))
+    return forms.join(_large(listed), "form").select(forms["*"], F.map_from_arrays(F.col("l.word"), F.col("l.weight")).alias("rarity"))
 
 
 def word_forms(word: str) -> str:
@@ -191,8 +197,8 @@ def form_pairs(forms: DataFrame) -> DataFrame:
     # A block is a hash of the number and a form of a word: what is met by a collision is refused like any other pair.
     blocks = "explode(array_distinct(flatten(transform(names, y -> transform(" + word_forms("y") + ", z -> xxhash64(number, z)))))) as block"
     keys = weighed.selectExpr("form", blocks)
-    met = keys.select(F.col("form").alias("a"), "block").join(keys.select(F.col("form").alias("b"), "block"), "block").where("a < b").select("a", "b").distinct()
-    side = lambda s: weighed.select(F.col("form").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in (*FORM, "rarity")))
+    met = keys.select(F.col("form").alias("a"), "block").join(_large(keys.select(F.col("form").alias("b"), "block")), "block").where("a < b").select("a", "b").distinct()
+    side = lambda s: _large(weighed.select(F.col("form").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in (*FORM, "rarity"))))
     pairs = met.join(side("a"), "a").join(side("b"), "b")
     pairs = pairs.where("number_a = number_b and (size(array_except(more_a, more_b)) = 0 or size(array_except(more_b, more_a)) = 0) and coalesce(country_a = country_b, true) and coalesce(way_a = way_b, true)").where("size(kinds_a) = 0 or size(kinds_b) = 0 or arrays_overlap(kinds_a, kinds_b)")
     near, town_near = _NEAR.format(a="x", b="y"), _NEAR_TOWN.format(a="town_name_a", b="town_name_b")
@@ -243,6 +249,6 @@ def same_place(df: DataFrame, **columns: str) -> DataFrame:
     forms = _forms(records)
     pairs = form_pairs(forms)
     own = forms.where("rows > 1").select(F.col("form").alias("a"), F.col("form").alias("b"))
-    rows = records.select("key", "form")
-    found = pairs.unionByName(own).join(rows.select(F.col("form").alias("a"), F.col("key").alias("x")), "a").join(rows.select(F.col("form").alias("b"), F.col("key").alias("y")), "b")
+    rows = lambda s, key: _large(records.select(F.col("form").alias(s), F.col("key").alias(key)))
+    found = pairs.unionByName(own).join(rows("a", "x"), "a").join(rows("b", "y"), "b")
     return found.where("a <> b and x <> y or x < y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
