@@ -1,9 +1,11 @@
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
 
 from weirflow.operators import instants as I
+from weirflow.plans.corpus_queries import p5_found
 
 UTC = dt.timezone.utc
 
@@ -63,6 +65,23 @@ def test_a_declared_zone_is_weighed_and_taken(spark):
     assert got == {1: ("Asia/Tokyo", 5, 5), 2: ("UTC", 0, 0)}
 
 
+def test_a_store_without_a_zone_gets_what_its_rows_tell(spark, tmp_path):
+    """A declared zone is taken though its rows fit another; null and unknown stores, and those that nothing tells of, are UTC."""
+    save = lambda rows, schema, name: spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    save([("tokyo", "JP", "Asia/Tokyo"), ("york", "US", "America/New_York"), ("none", "US", None), ("blank", "DE", " "), ("idle", "DE", None)], "store_id string, country string, timezone string", "stores")
+    rows, expected = [], {}
+    for i in range(30):
+        # The clocks of tokyo and blank show UTC, those of none New York's time, in summer and in winter.
+        at = dt.datetime(2024, 1, 5, 12, 1, tzinfo=UTC) + dt.timedelta(days=11 * i)
+        york = at.astimezone(ZoneInfo("America/New_York")).replace(tzinfo=None)
+        for k, (store, clock, zone) in enumerate([("tokyo", at, "Asia/Tokyo"), ("york", york, "America/New_York"), ("none", york, "America/New_York"), ("blank", at, "UTC"), ("idle", york.replace(hour=0, minute=0), "UTC"), (None, york, "UTC"), ("other", york, "UTC")]):
+            rows.append((10 * i + k, store, f"{clock:%Y-%m-%dT%H:%M:%S}", (at + dt.timedelta(minutes=i)).replace(tzinfo=None)))
+            expected[10 * i + k] = int(clock.replace(tzinfo=ZoneInfo(zone)).timestamp() * 1000)
+    save(rows, "record_id bigint, store_id string, purchase_date string, ingested_at timestamp_ntz", "purchase_documents")
+    save([], "record_id bigint, registration_date string", "client_documents")
+    assert {r.record_id: r.utc_millis for r in p5_found(spark, str(tmp_path)).collect()} == expected
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "i int, t string")
     assert I.parse(df, [F.col("i")], F.col("t"), F.lit(True)).select(I.resolve(F.lit("UTC"))).count() == 0

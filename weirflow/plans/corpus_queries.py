@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import change_log, exactly_once, instants
-from ..shared import scratch, written
+from ..shared import scratch
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,9 +41,12 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return change_log.rebuild(table(spark, folder, "document_changes"), scratch(spark, "changes"))
 
 
-def _purchases(spark: SparkSession, folder: str) -> DataFrame:
+def _purchases(spark: SparkSession, folder: str, only: DataFrame | None = None) -> DataFrame:
+    """Purchases, their dates parsed; ``only`` those of certain sources."""
     stores = table(spark, folder, "stores").select("store_id", F.col("country").alias("store_country"))
     bought = table(spark, folder, "purchase_documents").select("record_id", "store_id", "purchase_date", "ingested_at").join(stores, "store_id", "left")
+    if only is not None:
+        bought = bought.join(only.select(F.col("source").alias("store_id")), "store_id", "left_semi")
     keep = [F.col("record_id"), F.col("store_id").alias("source"), F.unix_millis(F.col("ingested_at").cast("timestamp")).alias("ingested_ms")]
     return instants.parse(bought, keep, F.col("purchase_date"), F.col("store_country") == "US")
 
@@ -58,12 +61,15 @@ def _usable(parsed: DataFrame) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    """A store's declared zone is weighed against UTC and taken, as it is declared; sources that no store declares are UTC."""
-    bought = written(_purchases(spark, folder), "purchases")
-    declared = _declared(spark, folder).withColumn("declared", F.lit(True))
-    utc = declared.where("zone <> 'UTC'").select("source", F.lit("UTC").alias("zone"), F.lit(1).alias("rank"), F.lit(False).alias("declared"))
-    zones = instants.choose_zones(_usable(bought), declared.unionByName(utc)).select("source", "zone")
-    bought = bought.join(zones, "source", "left").select(F.lit("purchase_documents").alias("source_table"), "record_id", instants.resolve(F.coalesce("zone", F.lit("UTC"))).alias("utc_millis"))
+    """A store's zone is the one that it declares; one that declares none gets what its rows tell, among UTC and all zones that any store declares. Sources that aren't stores are UTC."""
+    stores = _declared(spark, folder).select("source", F.nullif(F.trim("zone"), F.lit("")).alias("zone"))
+    declared, silent = stores.where("zone is not null"), stores.where("zone is null").select("source")
+    known = declared.select("zone").unionByName(spark.range(1).select(F.lit("UTC").alias("zone"))).distinct()
+    candidates = silent.crossJoin(F.broadcast(known)).withColumn("rank", (F.col("zone") != "UTC").cast("int"))
+    # Stores are some hundred rows, those that declare no zone a part of them: their purchases alone are weighed, and no purchase is shuffled.
+    told = instants.choose_zones(_usable(_purchases(spark, folder, F.broadcast(silent))), F.broadcast(candidates)).select("source", "zone")
+    zones = F.broadcast(declared.unionByName(told))
+    bought = _purchases(spark, folder).join(zones, "source", "left").select(F.lit("purchase_documents").alias("source_table"), "record_id", instants.resolve(F.coalesce("zone", F.lit("UTC"))).alias("utc_millis"))
     clients = instants.parse(table(spark, folder, "client_documents"), [F.col("record_id")], F.col("registration_date"), F.lit(False))
     clients = clients.select(F.lit("client_documents").alias("source_table"), "record_id", instants.resolve(F.lit("UTC")).alias("utc_millis"))
     return bought.unionByName(clients)
